@@ -12,7 +12,7 @@ from riskgrid.plans.ordering import ordered
 
 def time_split(df: DataFrame, key: str, time_col: str = "valid_time",
                test_size: float = 0.20, val_within: float = 0.375,
-               split_col: str = "split") -> DataFrame:
+               split_col: str = "split", sample_from: DataFrame | None = None) -> DataFrame:
     """Positional split in the total order (time, key): train / val / test.
 
     ``te = int(n (1 - test_size))``, ``v = int(te val_within)``; rows
@@ -21,7 +21,8 @@ def time_split(df: DataFrame, key: str, time_col: str = "valid_time",
     global position comes from value-defined buckets (``ordered``), never one
     task.
     """
-    ranked = ordered(df, [(time_col, True), (key, True)], sample_id=F.col(key))
+    ranked = ordered(df, [(time_col, True), (key, True)], sample_id=F.col(key),
+                     sample_from=sample_from)
     te = F.floor(F.col("_rn_total").cast("double") * F.lit(1.0 - test_size))
     v = F.floor(te * F.lit(val_within))
     split = (F.when(F.col("_rn") <= te - v, F.lit("train"))

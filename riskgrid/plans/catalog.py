@@ -99,3 +99,45 @@ def q_topk_global_quantile(spark, sf):
 @register("topk_lift")
 def q_topk_lift(spark, sf):
     return r6(ranking.topk_lift(B.scored_eval(spark, sf), B.KS, key=KEY, by=["split"]))
+
+
+# ---------------------------------------------------------------- quality
+from riskgrid.operators import quality  # noqa: E402
+from riskgrid.sources.fixtures import FEATURES  # noqa: E402
+
+
+@register("missing_report")
+def q_missing_report(spark, sf):
+    return r6(quality.missing_report(obs(spark, sf)))
+
+
+@register("describe_features")
+def q_describe_features(spark, sf):
+    return r6(quality.describe(B.clean_obs(spark, sf), FEATURES))
+
+
+@register("class_balance")
+def q_class_balance(spark, sf):
+    return quality.class_balance(B.split_obs(spark, sf), "label", by=["split"])
+
+
+@register("feature_histogram")
+def q_feature_histogram(spark, sf):
+    return r6(quality.histogram(B.clean_obs(spark, sf), FEATURES, B.HIST_BINS))
+
+
+@register("log_histogram")
+def q_log_histogram(spark, sf):
+    return r6(quality.histogram(B.scored_eval(spark, sf), ["prob"], B.HIST_BINS, by=["split"],
+                                clip_to=(1e-12, 1.0)))
+
+
+@register("box_stats")
+def q_box_stats(spark, sf):
+    return r6(quality.box_stats(B.clean_obs(spark, sf), FEATURES))
+
+
+@register("stratified_density")
+def q_stratified_density(spark, sf):
+    val = B.scored(spark, sf).filter(F.col("split") == "val")
+    return r6(quality.stratified_density(val, FEATURES, "label", bins=20))

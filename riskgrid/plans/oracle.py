@@ -164,3 +164,126 @@ SELECT split, CAST(kk AS BIGINT) AS k, tp, CAST(kk - tp AS BIGINT) AS fp,
        round((tp / greatest(kk, 1)) / greatest(pos / greatest(n, 1), 1e-12), 6) AS lift,
        round(threshold, 6) AS threshold, round(pos / greatest(n, 1), 6) AS base_rate
 FROM kres"""
+
+FEATS = ["f_qty", "f_price", "f_disc", "f_tax"]
+
+
+def _long(src: str, feats=FEATS, extra: str = "") -> str:
+    """UNION ALL unpivot that keeps null values."""
+    sep = ", " if extra else ""
+    return " UNION ALL ".join(
+        f"SELECT {extra}{sep}'{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM {src}" for f in feats)
+
+
+OBS_COLS = ["obs_key", "valid_time", "grid_id", "lon", "lat", "f_qty", "f_price", "f_disc",
+            "f_tax", "label", "burned_area"]
+
+SQL["missing_report"] = f"""WITH {OBS},
+m AS ({" UNION ALL ".join(f'''SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS missing_count FROM obs''' for c in OBS_COLS)}),
+n AS (SELECT count(*) AS n FROM obs)
+SELECT "column", missing_count,
+       round(CASE WHEN n = 0 THEN 0.0 ELSE missing_count / n END, 6) AS missing_rate
+FROM m, n"""
+
+SQL["describe_features"] = f"""WITH {CLEAN},
+long AS ({_long("clean")}),
+mom AS (
+  SELECT feature, count(value) AS count, count(*) FILTER (WHERE value IS NULL) AS null_count,
+         avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max
+  FROM long GROUP BY feature),
+rk AS (
+  SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS pos,
+         count(*) OVER (PARTITION BY feature) AS n
+  FROM long WHERE value IS NOT NULL),
+qq AS (
+  SELECT feature,
+         max(CASE WHEN pos = round(0.25 * (n - 1)) THEN value END) AS q25,
+         max(CASE WHEN pos = round(0.50 * (n - 1)) THEN value END) AS q50,
+         max(CASE WHEN pos = round(0.75 * (n - 1)) THEN value END) AS q75
+  FROM rk GROUP BY feature)
+SELECT feature, count, null_count, round(mean, 6) AS mean, round(std, 6) AS std,
+       round(min, 6) AS min, round(q25, 6) AS q25, round(q50, 6) AS q50, round(q75, 6) AS q75,
+       round(max, 6) AS max
+FROM mom LEFT JOIN qq USING (feature)"""
+
+SQL["class_balance"] = f"""WITH {SPLIT}
+SELECT split, label, count(*) AS count FROM splitted GROUP BY split, label"""
+
+HIST = """
+rng AS (
+  SELECT {by}feature,
+         CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
+         CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi
+  FROM long GROUP BY {by}feature),
+b AS (
+  SELECT {lby}l.feature, r.lo, r.hi,
+         least(CAST(floor((l.value - r.lo) / (r.hi - r.lo) * 50) AS INTEGER), 49) AS bin
+  FROM long l JOIN rng r ON l.feature = r.feature {on})
+SELECT {by}feature, bin, round(lo + (hi - lo) / 50 * bin, 6) AS bin_low,
+       round(lo + (hi - lo) / 50 * (bin + 1), 6) AS bin_high, count(*) AS count
+FROM b GROUP BY {by}feature, bin, lo, hi"""
+
+SQL["feature_histogram"] = f"""WITH {CLEAN},
+long AS (SELECT * FROM ({_long("clean")}) WHERE value IS NOT NULL AND NOT isnan(value)),
+""" + HIST.format(by="", lby="", on="")
+
+SQL["log_histogram"] = f"""WITH {SCORED},
+long AS (SELECT split, 'prob' AS feature, least(greatest(prob, 1e-12), 1.0) AS value FROM ev),
+""" + HIST.format(by="split, ", lby="l.split, ", on="AND l.split = r.split")
+
+SQL["box_stats"] = f"""WITH {CLEAN},
+long AS (SELECT * FROM ({_long("clean")}) WHERE value IS NOT NULL AND NOT isnan(value)),
+q AS (
+  SELECT feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+         quantile_cont(value, 0.75) AS q3
+  FROM long GROUP BY feature),
+w AS (
+  SELECT l.feature,
+         min(CASE WHEN l.value >= q.q1 - (q.q3 - q.q1) * 1.5 THEN l.value END) AS whisker_lo,
+         max(CASE WHEN l.value <= q.q3 + (q.q3 - q.q1) * 1.5 THEN l.value END) AS whisker_hi,
+         count(*) FILTER (WHERE l.value < q.q1 - (q.q3 - q.q1) * 1.5
+                           OR l.value > q.q3 + (q.q3 - q.q1) * 1.5) AS n_fliers
+  FROM long l JOIN q USING (feature) GROUP BY l.feature)
+SELECT feature, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(q3 - q1, 6) AS iqr, round(whisker_lo, 6) AS whisker_lo,
+       round(whisker_hi, 6) AS whisker_hi, n_fliers
+FROM q JOIN w USING (feature)"""
+
+_QS21 = ", ".join(str(i / 20) for i in range(21))
+SQL["stratified_density"] = f"""WITH {SCORED},
+val AS (SELECT * FROM scored WHERE split = 'val'),
+long AS (SELECT * FROM ({_long("val", extra="label")}) WHERE value IS NOT NULL AND NOT isnan(value)),
+eq AS (
+  SELECT feature, list_sort(list_distinct(quantile_cont(value, [{_QS21}]))) AS qe,
+         min(value) AS mn, max(value) AS mx
+  FROM long GROUP BY feature),
+edges AS (
+  SELECT feature,
+         CASE WHEN len(qe) < 3
+              THEN [mn + (mx + 1e-12 - mn) * i / 4 FOR i IN range(0, 5)]
+              ELSE qe END AS edges
+  FROM eq),
+binned AS (
+  SELECT l.feature, l.label,
+         CASE WHEN l.value = e.edges[len(e.edges)] THEN len(e.edges) - 2
+              ELSE len(list_filter(e.edges, lambda t: t <= l.value)) - 1 END AS bin
+  FROM long l JOIN edges e USING (feature)
+  WHERE l.value >= e.edges[1] AND l.value <= e.edges[len(e.edges)]),
+cnt AS (
+  SELECT feature, bin, count(*) AS count, count(*) FILTER (WHERE label = 1) AS pos_count,
+         count(*) FILTER (WHERE label = 0) AS neg_count
+  FROM binned GROUP BY feature, bin),
+grid AS (SELECT feature, edges, unnest(range(0, len(edges) - 1)) AS bin FROM edges),
+full_ AS (
+  SELECT g.feature, CAST(g.bin AS INTEGER) AS bin, g.edges[g.bin + 1] AS edge_lo,
+         g.edges[g.bin + 2] AS edge_hi,
+         CAST(coalesce(c.count, 0) AS BIGINT) AS count,
+         CAST(coalesce(c.pos_count, 0) AS BIGINT) AS pos_count,
+         CAST(coalesce(c.neg_count, 0) AS BIGINT) AS neg_count
+  FROM grid g LEFT JOIN cnt c ON c.feature = g.feature AND c.bin = g.bin)
+SELECT feature, bin, round(edge_lo, 6) AS edge_lo, round(edge_hi, 6) AS edge_hi, count,
+       round(count / (max(count) OVER (PARTITION BY feature) + 1e-12), 6) AS density,
+       pos_count, neg_count,
+       round(pos_count / (max(pos_count) OVER (PARTITION BY feature) + 1e-12), 6) AS pos_density,
+       round(neg_count / (max(neg_count) OVER (PARTITION BY feature) + 1e-12), 6) AS neg_density
+FROM full_"""

@@ -6,7 +6,7 @@ rows (and accumulates sums) inside each bucket with an ordinary partitioned
 window, and adds the totals of all earlier buckets of the same group from a
 small offsets table (one row per group x bucket).
 
-Bucket boundaries are taken from a deterministic md5 sample of the rows and
+Bucket boundaries are taken from a deterministic hash sample of the rows and
 turned into a balanced CASE tree (``log2(B)`` comparisons per row), so a
 row's bucket is a pure function of its values: every branch of the plan and
 every recomputation after a lost executor agree on it.  (A physical range
@@ -21,15 +21,13 @@ D17, D23, D24) and cumulative curves (D18-D22, F8).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskgrid.functions.exprs import hash_uniform
+from riskgrid.session import shuffle_partitions
 
-ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 8192
 SAMPLE_PER_BUCKET = 20
 
@@ -69,35 +67,39 @@ def _bucket_expr(keys: list[Column], bounds: list[tuple]) -> Column:
 
 
 def bucket_bounds(df: DataFrame, keys: list[Column], sample_id: Column,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> list[tuple]:
+                  n_buckets: int | None = None) -> list[tuple]:
     """Boundaries of ~equal-count buckets from a bounded deterministic sample.
 
-    Two small actions: a count and a sample of at most ``MAX_BUCKETS x
-    SAMPLE_PER_BUCKET`` key tuples (the only rows that reach the driver).
+    One small job: the ``n_buckets x SAMPLE_PER_BUCKET`` rows with the
+    smallest ``xxhash64(sample_id)`` (a top-k heap per task, no count needed);
+    only those key tuples reach the driver.  Fewer sampled rows than asked
+    means the input is small and one bucket is enough.
     """
-    n = df.count()
-    n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n / max(1, rows_per_bucket))))
+    if n_buckets is None:
+        n_buckets = 2 * shuffle_partitions(df.sparkSession)
+    n_buckets = max(1, min(MAX_BUCKETS, int(n_buckets)))
     if n_buckets == 1:
         return []
-    frac = min(1.0, n_buckets * SAMPLE_PER_BUCKET / n)
+    want = n_buckets * SAMPLE_PER_BUCKET
     names = [f"_k{i}" for i in range(len(keys))]
-    rows = (df.filter(hash_uniform(sample_id, "bucket-sample") < F.lit(frac))
-              .select(*[k.alias(nm) for k, nm in zip(keys, names)]).collect())
-    tuples = sorted((tuple(r) for r in rows),
-                    key=lambda t: tuple((v is not None, v) for v in t))
-    if len(tuples) < 2:
+    rows = (df.select(*[k.alias(nm) for k, nm in zip(keys, names)],
+                      F.xxhash64(sample_id).alias("_h"))
+              .orderBy("_h").limit(want).collect())
+    if len(rows) < want:
         return []
-    step = len(tuples) / n_buckets
-    picked = sorted({tuples[min(len(tuples) - 1, int(round(i * step)))]
-                     for i in range(1, n_buckets)},
+    tuples = sorted((tuple(r)[:-1] for r in rows),
                     key=lambda t: tuple((v is not None, v) for v in t))
-    return picked
+    step = len(tuples) / n_buckets
+    return sorted({tuples[min(len(tuples) - 1, int(round(i * step)))]
+                   for i in range(1, n_buckets)},
+                  key=lambda t: tuple((v is not None, v) for v in t))
 
 
 def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
             sums: dict[str, Column] | None = None, within: Sequence[str] = (),
             sample_id: Column | None = None, rn_col: str = "_rn",
-            rows_per_bucket: int = ROWS_PER_BUCKET, small_groups: bool = True) -> DataFrame:
+            n_buckets: int | None = None, small_groups: bool = True,
+            sample_from: DataFrame | None = None) -> DataFrame:
     """Add ``rn_col`` (1-based position in ``order`` inside ``within``) and its
     group size ``<rn_col>_total``; for each ``sums`` entry an inclusive running
     sum ``<name>`` and its group total ``<name>_total``.
@@ -106,13 +108,18 @@ def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
     numeric columns.  ``sample_id`` identifies rows for the boundary sample
     (defaults to the order columns).  ``small_groups`` broadcasts the offsets
     table (groups x buckets rows); pass False for unbounded ``within``.
+    ``sample_from`` may name a cheaper relation with the same key columns
+    (e.g. the scan before a de-duplication shuffle) to draw the boundary
+    sample from; boundaries only steer balance, never the result.
     """
     within = list(within)
     sums = dict(sums or {})
     keys = [F.col(c) for c in within] + [_sort_key(df, c, a) for c, a in order]
     if sample_id is None:
         sample_id = F.concat_ws("|", *[F.col(c).cast("string") for c, _ in order])
-    bounds = bucket_bounds(df, keys, sample_id, rows_per_bucket)
+    src = df if sample_from is None else sample_from
+    src_keys = [F.col(c) for c in within] + [_sort_key(src, c, a) for c, a in order]
+    bounds = bucket_bounds(src, src_keys, sample_id, n_buckets)
 
     win_order = [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_first()
                  for c, a in order]

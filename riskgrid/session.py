@@ -23,6 +23,8 @@ _DEFAULT_CONF = {
     # a broadcast side must be proven small; 64 MB is the ceiling for the
     # planner's own choice, explicit hints go through ``checked_broadcast``
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # checkpoint files of dropped DataFrames are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -69,3 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and return it.
+
+    A reliable checkpoint (never ``localCheckpoint``): later plans read the
+    written files, so a lost executor costs a re-read, not a re-run of the
+    whole upstream, and plan-time sampling jobs stop repeating it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
