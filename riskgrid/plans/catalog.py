@@ -141,3 +141,155 @@ def q_box_stats(spark, sf):
 def q_stratified_density(spark, sf):
     val = B.scored(spark, sf).filter(F.col("split") == "val")
     return r6(quality.stratified_density(val, FEATURES, "label", bins=20))
+
+
+# ---------------------------------------------------------------- features
+from riskgrid.operators import features  # noqa: E402
+
+_FOUT = [KEY, *FEATURES]
+
+
+@register("impute_global")
+def q_impute_global(spark, sf):
+    return r6(features.impute(B.clean_obs(spark, sf), FEATURES).select(*_FOUT))
+
+
+@register("impute_monthwise")
+def q_impute_monthwise(spark, sf):
+    return r6(features.impute(B.clean_obs(spark, sf), FEATURES, monthwise=True).select(*_FOUT))
+
+
+@register("month_dummies")
+def q_month_dummies(spark, sf):
+    d = features.add_month_dummies(B.clean_obs(spark, sf), B.KEEP_MONTHS)
+    return d.select(KEY, "month", *[f"mon_{m:02d}" for m in B.KEEP_MONTHS])
+
+
+@register("scale_minmax")
+def q_scale_minmax(spark, sf):
+    return r6(features.scale(B.clean_obs(spark, sf), FEATURES, "minmax").select(*_FOUT))
+
+
+@register("scale_standard")
+def q_scale_standard(spark, sf):
+    return r6(features.scale(B.clean_obs(spark, sf), FEATURES, "standard").select(*_FOUT))
+
+
+@register("scale_robust")
+def q_scale_robust(spark, sf):
+    return r6(features.scale(B.clean_obs(spark, sf), FEATURES, "robust").select(*_FOUT))
+
+
+@register("prepared_features")
+def q_prepared_features(spark, sf):
+    p = features.prepare(B.clean_obs(spark, sf), FEATURES, B.KEEP_MONTHS, "minmax")
+    return r6(p.select(*_FOUT, *[f"mon_{m:02d}" for m in B.KEEP_MONTHS]))
+
+
+@register("class_weight")
+def q_class_weight(spark, sf):
+    return r6(features.class_weight(B.split_obs(spark, sf), "label", by=["split"]))
+
+
+# ---------------------------------------------------------------- policy
+from riskgrid.operators import curves, policy, stats  # noqa: E402
+from riskgrid.functions.exprs import linspace  # noqa: E402
+
+
+def _val(spark, sf):
+    return B.scored(spark, sf).filter(F.col("split") == "val")
+
+
+@register("policy_derive")
+def q_policy_derive(spark, sf):
+    return r6(policy.derive(_val(spark, sf), B.PRIMARY_Q, B.ANCHOR_K, key=KEY))
+
+
+@register("policy_apply")
+def q_policy_apply(spark, sf):
+    pol = policy.derive(_val(spark, sf), B.PRIMARY_Q, B.ANCHOR_K, key=KEY)
+    test = B.scored(spark, sf).filter(F.col("split") == "test")
+    q = policy.apply(test, pol, key=KEY, mode="quantile").select(F.lit("quantile").alias("mode"), KEY, "prob", "label")
+    t = policy.apply(test, pol, key=KEY, mode="topk").select(F.lit("topk").alias("mode"), KEY, "prob", "label")
+    return r6(q.unionByName(t))
+
+
+@register("anchor_threshold")
+def q_anchor_threshold(spark, sf):
+    return r6(ranking.kth_largest(B.scored_eval(spark, sf), B.ANCHOR_K, key=KEY, by=["split"]))
+
+
+@register("quantile_grid")
+def q_quantile_grid(spark, sf):
+    qs = linspace(0.01, 0.99, B.PD_GRID)
+    return r6(stats.quantiles(B.clean_obs(spark, sf), FEATURES, qs)
+              .withColumn("q_idx", F.col("q_idx").cast("int")))
+
+
+@register("ecdf_at")
+def q_ecdf_at(spark, sf):
+    """Share of each feature's rows at or below the feature mean."""
+    df = B.clean_obs(spark, sf)
+    long = stats.to_long(df, FEATURES, finite_only=False)
+    means = long.groupBy("feature").agg(F.avg("value").alias("mean"))
+    j = long.join(F.broadcast(means), "feature")
+    return r6(j.groupBy("feature").agg(
+        F.avg(F.when(F.col("value") <= F.col("mean"), 1.0).otherwise(0.0)).alias("ecdf")))
+
+
+# ---------------------------------------------------------------- curves
+@register("auc")
+def q_auc(spark, sf):
+    return r6(curves.auc_ap(B.scored_eval(spark, sf), by=["split"]).select("split", "auc"))
+
+
+@register("average_precision")
+def q_average_precision(spark, sf):
+    return r6(curves.auc_ap(B.scored_eval(spark, sf), by=["split"]).select("split", "average_precision"))
+
+
+@register("brier")
+def q_brier(spark, sf):
+    return r6(curves.brier(B.scored_eval(spark, sf), by=["split"]))
+
+
+@register("metrics_bundle")
+def q_metrics_bundle(spark, sf):
+    return r6(curves.metrics(B.scored_eval(spark, sf), by=["split"]))
+
+
+@register("roc_points")
+def q_roc_points(spark, sf):
+    return r6(curves.roc_points(B.scored_eval(spark, sf), by=["split"]))
+
+
+@register("pr_points")
+def q_pr_points(spark, sf):
+    return r6(curves.pr_points(B.scored_eval(spark, sf), by=["split"]))
+
+
+@register("reliability_curve")
+def q_reliability_curve(spark, sf):
+    return r6(curves.reliability(B.scored_eval(spark, sf), n_bins=B.CAL_BINS, by=["split"]))
+
+
+@register("calibration_table")
+def q_calibration_table(spark, sf):
+    return r6(curves.calibration_table(B.scored_eval(spark, sf), n_bins=B.CAL_BINS, by=["split"]))
+
+
+@register("calibration_tail")
+def q_calibration_tail(spark, sf):
+    return r6(curves.calibration_tail(B.scored_eval(spark, sf), tail_q=B.TAIL_Q,
+                                      n_bins=B.TAIL_BINS, by=["split"]))
+
+
+@register("tail_summary")
+def q_tail_summary(spark, sf):
+    return r6(curves.tail_summary(B.scored_eval(spark, sf), tail_q=B.TAIL_Q,
+                                  n_bins=B.TAIL_BINS, by=["split"]))
+
+
+@register("ecdf_curve")
+def q_ecdf_curve(spark, sf):
+    return r6(curves.ecdf_curve(B.scored_eval(spark, sf), "prob", by=["split"]))

@@ -287,3 +287,204 @@ SELECT feature, bin, round(edge_lo, 6) AS edge_lo, round(edge_hi, 6) AS edge_hi,
        round(pos_count / (max(pos_count) OVER (PARTITION BY feature) + 1e-12), 6) AS pos_density,
        round(neg_count / (max(neg_count) OVER (PARTITION BY feature) + 1e-12), 6) AS neg_density
 FROM full_"""
+
+_MED = ", ".join(f"median({f}) AS m_{f}" for f in FEATS)
+SQL["impute_global"] = f"""WITH {CLEAN}, med AS (SELECT {_MED} FROM clean)
+SELECT obs_key, {", ".join(f"round(coalesce({f}, m_{f}), 6) AS {f}" for f in FEATS)}
+FROM clean, med"""
+
+SQL["impute_monthwise"] = f"""WITH {CLEAN}, med AS (SELECT month, {_MED} FROM clean GROUP BY month)
+SELECT obs_key, {", ".join(f"round(coalesce({f}, m_{f}), 6) AS {f}" for f in FEATS)}
+FROM clean LEFT JOIN med USING (month)"""
+
+SQL["month_dummies"] = f"""WITH {CLEAN}
+SELECT obs_key, CAST(month AS INTEGER) AS month,
+       {", ".join(f"CAST(month = {m} AS TINYINT) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
+FROM clean"""
+
+
+def _scaled(params: str, center: str, scale: str) -> str:
+    return f"""WITH {CLEAN}, p AS (SELECT {params} FROM clean)
+SELECT obs_key, {", ".join(f"round(({f} - {center.format(f=f)}) / {scale.format(f=f)}, 6) AS {f}" for f in FEATS)}
+FROM clean, p"""
+
+
+def _nz(x: str) -> str:
+    return f"(CASE WHEN {x} = 0 OR {x} IS NULL THEN 1.0 ELSE {x} END)"
+
+
+SQL["scale_minmax"] = _scaled(", ".join(f"min({f}) AS lo_{f}, max({f}) - min({f}) AS rg_{f}" for f in FEATS),
+                              "lo_{f}", _nz("rg_{f}"))
+SQL["scale_standard"] = _scaled(", ".join(f"avg({f}) AS mu_{f}, stddev_pop({f}) AS sd_{f}" for f in FEATS),
+                                "mu_{f}", _nz("sd_{f}"))
+SQL["scale_robust"] = _scaled(
+    ", ".join(f"quantile_cont({f}, 0.5) AS md_{f}, quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) AS iq_{f}"
+              for f in FEATS), "md_{f}", _nz("iq_{f}"))
+
+SQL["prepared_features"] = f"""WITH {CLEAN}, med AS (SELECT {_MED} FROM clean),
+imp AS (
+  SELECT obs_key, month, {", ".join(f"coalesce({f}, m_{f}) AS {f}" for f in FEATS)} FROM clean, med),
+p AS (SELECT {", ".join(f"min({f}) AS lo_{f}, max({f}) - min({f}) AS rg_{f}" for f in FEATS)} FROM imp)
+SELECT obs_key, {", ".join(f"round(({f} - lo_{f}) / {_nz(f'rg_{f}')}, 6) AS {f}" for f in FEATS)},
+       {", ".join(f"CAST(month = {m} AS TINYINT) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
+FROM imp, p"""
+
+SQL["class_weight"] = f"""WITH {SPLIT}
+SELECT split, CAST(sum(label) AS BIGINT) AS pos, count(*) - sum(label) AS neg,
+       round((count(*) - sum(label)) / greatest(sum(label), 1), 6) AS weight
+FROM splitted GROUP BY split"""
+
+# ---------------------------------------------------------------- policy
+SQL["policy_derive"] = f"""WITH {SCORED},
+val AS (SELECT * FROM scored WHERE split = 'val'),
+vr AS (SELECT prob, row_number() OVER (ORDER BY prob DESC, obs_key) AS rn, count(*) OVER () AS n FROM val),
+a AS (SELECT least(1000, max(n)) AS kk FROM vr),
+thr AS (SELECT vr.prob AS t FROM vr, a WHERE vr.rn = a.kk)
+SELECT 'quantile' AS primary_mode, CAST(0.999 AS DOUBLE) AS primary_q,
+       round((SELECT quantile_cont(prob, 0.999) FROM val), 6) AS backup_threshold,
+       'topk' AS fallback_mode, CAST(1000 AS INTEGER) AS fallback_k, CAST(a.kk AS BIGINT) AS anchor_k,
+       round((SELECT count(*) FROM val WHERE prob <= (SELECT t FROM thr)) / (SELECT count(*) FROM val), 6)
+         AS anchor_q_equiv,
+       round((SELECT t FROM thr), 6) AS anchor_threshold_equiv
+FROM a"""
+
+SQL["policy_apply"] = f"""WITH {SCORED},
+pol AS (SELECT quantile_cont(prob, 0.999) AS thr FROM scored WHERE split = 'val'),
+test AS (SELECT * FROM scored WHERE split = 'test')
+SELECT 'quantile' AS mode, obs_key, round(prob, 6) AS prob, label FROM test, pol WHERE prob >= thr
+UNION ALL
+SELECT 'topk' AS mode, obs_key, round(prob, 6) AS prob, label
+FROM (SELECT * FROM test ORDER BY prob DESC, obs_key LIMIT 1000)"""
+
+SQL["anchor_threshold"] = f"""WITH {K_FRAME.replace(KLIST, "(VALUES (1000)) AS kl(k)")}
+SELECT split, CAST(kk AS BIGINT) AS k, round(threshold, 6) AS threshold_equiv,
+       round(quantile, 6) AS q_equiv
+FROM kres"""
+
+
+def _qlist(qs) -> str:
+    return "[" + ", ".join(repr(float(q)) for q in qs) + "]"
+
+
+_PDQ = [0.01 + (0.99 - 0.01) * i / 9 for i in range(10)]
+SQL["quantile_grid"] = f"""WITH {CLEAN},
+long AS (SELECT * FROM ({_long("clean")}) WHERE value IS NOT NULL AND NOT isnan(value)),
+qa AS (SELECT feature, quantile_cont(value, {_qlist(_PDQ)}) AS qv FROM long GROUP BY feature)
+SELECT feature, CAST(i - 1 AS INTEGER) AS q_idx, round(ql[i], 6) AS q, round(qv[i], 6) AS quantile
+FROM qa, (SELECT {_qlist(_PDQ)} AS ql), range(1, 11) AS r(i)"""
+
+SQL["ecdf_at"] = f"""WITH {CLEAN},
+long AS ({_long("clean")}),
+m AS (SELECT feature, avg(value) AS mean FROM long GROUP BY feature)
+SELECT feature, round(avg(CASE WHEN value <= mean THEN 1.0 ELSE 0.0 END), 6) AS ecdf
+FROM long JOIN m USING (feature) GROUP BY feature"""
+
+# ---------------------------------------------------------------- curves
+CUM = SCORED + """,
+g AS (SELECT split, prob, count(*) AS n, CAST(sum(label) AS BIGINT) AS pos FROM ev GROUP BY split, prob),
+c AS (
+  SELECT *, sum(n) OVER w AS K, sum(pos) OVER w AS TP,
+         sum(n) OVER (PARTITION BY split) AS Kt, sum(pos) OVER (PARTITION BY split) AS Pt,
+         row_number() OVER (PARTITION BY split ORDER BY prob DESC) AS rn,
+         count(*) OVER (PARTITION BY split) AS m
+  FROM g
+  WINDOW w AS (PARTITION BY split ORDER BY prob DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+_AUC = "sum(pos * ((Kt - Pt) - (K - TP) + (n - pos) / 2.0)) / (max(Pt) * max(Kt - Pt))"
+_AP = "sum(TP / K * pos) / max(Pt)"
+SQL["auc"] = f"WITH {CUM} SELECT split, round({_AUC}, 6) AS auc FROM c GROUP BY split"
+SQL["average_precision"] = f"WITH {CUM} SELECT split, round({_AP}, 6) AS average_precision FROM c GROUP BY split"
+SQL["brier"] = f"WITH {SCORED} SELECT split, round(avg(pow(prob - label, 2)), 6) AS brier FROM ev GROUP BY split"
+SQL["metrics_bundle"] = f"""WITH {CUM},
+b AS (SELECT split, avg(pow(prob - label, 2)) AS brier FROM ev GROUP BY split),
+a AS (SELECT split, {_AUC} AS auc, {_AP} AS ap FROM c GROUP BY split)
+SELECT split, round(auc, 6) AS AUC, round(ap, 6) AS PR_AUC, round(brier, 6) AS Brier FROM a JOIN b USING (split)"""
+
+SQL["roc_points"] = f"""WITH {CUM},
+d AS (
+  SELECT split, prob, rn, m, K - TP AS fps, TP AS tps, Kt - Pt AS N, Pt AS P,
+         lag(K - TP) OVER s AS fp_prev, lead(K - TP) OVER s AS fp_next,
+         lag(TP) OVER s AS tp_prev, lead(TP) OVER s AS tp_next
+  FROM c WINDOW s AS (PARTITION BY split ORDER BY rn))
+SELECT split, round(prob, 6) AS threshold, round(fps / greatest(N, 1e-300), 6) AS fpr,
+       round(tps / greatest(P, 1e-300), 6) AS tpr
+FROM d
+WHERE rn = 1 OR rn = m OR fp_prev - 2 * fps + fp_next <> 0 OR tp_prev - 2 * tps + tp_next <> 0
+UNION ALL
+SELECT DISTINCT split, CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr FROM ev"""
+
+SQL["pr_points"] = f"""WITH {CUM}
+SELECT split, round(prob, 6) AS threshold, round(TP / K, 6) AS precision,
+       round(CASE WHEN Pt = 0 THEN 1.0 ELSE TP / Pt END, 6) AS recall
+FROM c
+UNION ALL
+SELECT DISTINCT split, CAST(NULL AS DOUBLE) AS threshold, 1.0 AS precision, 0.0 AS recall FROM ev"""
+
+_Q21 = _qlist([i / 20 for i in range(21)])
+_Q13 = _qlist([i / 12 for i in range(13)])
+SQL["reliability_curve"] = f"""WITH {SCORED},
+e AS (SELECT split, quantile_cont(prob, {_Q21}) AS edges FROM ev GROUP BY split),
+b AS (
+  SELECT ev.split, ev.prob, ev.label,
+         len(list_filter(e.edges[2:20], lambda t: t < ev.prob)) AS bin
+  FROM ev JOIN e USING (split))
+SELECT split, CAST(bin AS INTEGER) AS bin, round(avg(label), 6) AS prob_true,
+       round(avg(prob), 6) AS prob_pred, count(*) AS n
+FROM b GROUP BY split, bin"""
+
+
+def _caltab(src: str, qlist: str) -> str:
+    """Calibration-table CTE chain over ``src(split, prob, label)``; base rate on ``ev``."""
+    return f"""
+e0 AS (
+  SELECT split, list_sort(list_distinct(quantile_cont(prob, {qlist}))) AS qe,
+         min(prob) AS mn, max(prob) AS mx
+  FROM {src} GROUP BY split),
+e AS (
+  SELECT split, CASE WHEN len(qe) <= 2 THEN [mn + (mx + 1e-15 - mn) * i / 4 FOR i IN range(0, 5)]
+                     ELSE qe END AS edges
+  FROM e0),
+br AS (SELECT split, avg(label) AS base_rate FROM ev GROUP BY split),
+b AS (
+  SELECT s.split, s.prob, s.label, e.edges,
+         len(list_filter(e.edges[2:len(e.edges) - 1], lambda t: t <= s.prob)) AS bin
+  FROM {src} s JOIN e USING (split)),
+tab AS (
+  SELECT split, CAST(bin AS INTEGER) AS bin, edges[bin + 1] AS bin_low, edges[bin + 2] AS bin_high,
+         count(*) AS n, CAST(sum(label) AS BIGINT) AS pos, avg(label) AS rate,
+         avg(prob) AS mean_pred, avg(label) / (base_rate + 1e-15) AS lift
+  FROM b JOIN br USING (split) GROUP BY split, bin, edges, base_rate)"""
+
+
+SQL["calibration_table"] = f"""WITH {SCORED}, {_caltab("ev", _Q21)}
+SELECT split, bin, round(bin_low, 6) AS bin_low, round(bin_high, 6) AS bin_high, n, pos,
+       round(rate, 6) AS rate, round(mean_pred, 6) AS mean_pred, round(lift, 6) AS lift
+FROM tab"""
+
+TAIL = f"""{SCORED},
+cut AS (SELECT split, quantile_cont(prob, 0.99) AS c FROM ev GROUP BY split),
+tail AS (SELECT ev.* FROM ev JOIN cut USING (split) WHERE ev.prob >= cut.c),
+{_caltab("tail", _Q13)}"""
+
+SQL["calibration_tail"] = f"""WITH {TAIL},
+ax AS (
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY bin) AS idx,
+         count(*) OVER (PARTITION BY split) AS nb
+  FROM tab)
+SELECT split, bin, round(bin_low, 6) AS bin_low, round(bin_high, 6) AS bin_high, n, pos,
+       round(rate, 6) AS rate, round(mean_pred, 6) AS mean_pred, round(lift, 6) AS lift,
+       round(CASE WHEN nb = 1 THEN 0.99 ELSE 0.99 + (1.0 - 0.99) * (idx - 1) / (nb - 1) END, 6) AS q_axis
+FROM ax"""
+
+SQL["tail_summary"] = f"""WITH {TAIL},
+s AS (SELECT split, count(*) AS n_bins_tail, max(lift) AS max_lift_tail FROM tab GROUP BY split)
+SELECT br.split, round(br.base_rate, 6) AS baseline_rate, CAST(0.99 AS DOUBLE) AS tail_q,
+       CAST(coalesce(s.n_bins_tail, 0) AS BIGINT) AS n_bins_tail,
+       round(coalesce(s.max_lift_tail, 0.0), 6) AS max_lift_tail
+FROM br LEFT JOIN s USING (split)"""
+
+SQL["ecdf_curve"] = f"""WITH {SCORED},
+g AS (SELECT split, prob AS value, count(*) AS n FROM ev GROUP BY split, prob)
+SELECT split, round(value, 6) AS value,
+       round(sum(n) OVER (PARTITION BY split ORDER BY value) / sum(n) OVER (PARTITION BY split), 6) AS cdf
+FROM g"""
