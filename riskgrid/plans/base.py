@@ -56,3 +56,19 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored rows of the evaluation splits (val, test)."""
     return scored(spark, sf_dir).filter(F.col("split").isin(*EVAL_SPLITS))
+
+
+def prepared_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split rows with imputed, min-max scaled features and month dummies
+    (fitted on all rows before the split, as the reference does)."""
+    from riskgrid.operators.features import prepare
+    from riskgrid.sources.fixtures import FEATURES
+    return prepare(split_obs(spark, sf_dir), FEATURES, KEEP_MONTHS, "minmax")
+
+
+KNN_FEATURES = ["f_qty", "f_price", "f_disc", "f_tax", "mon_05", "mon_06", "mon_07", "mon_08"]
+
+
+def train_positives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = prepared_split(spark, sf_dir)
+    return p.filter((F.col("split") == "train") & (F.col("label") == 1)).select(KEY, *KNN_FEATURES)

@@ -293,3 +293,42 @@ def q_tail_summary(spark, sf):
 @register("ecdf_curve")
 def q_ecdf_curve(spark, sf):
     return r6(curves.ecdf_curve(B.scored_eval(spark, sf), "prob", by=["split"]))
+
+
+# ---------------------------------------------------------------- sampling
+from riskgrid.operators import sampling  # noqa: E402
+
+
+@register("sample_n")
+def q_sample_n(spark, sf):
+    return sampling.sample_n(B.clean_obs(spark, sf), B.SAMPLE_N, B.SEED, KEY).select(KEY)
+
+
+@register("downsample")
+def q_downsample(spark, sf):
+    train = B.split_obs(spark, sf).filter(F.col("split") == "train")
+    return sampling.downsample(train, "label", B.BALANCE_N, B.SEED, KEY).select(KEY, "label")
+
+
+@register("oversample")
+def q_oversample(spark, sf):
+    train = B.split_obs(spark, sf).filter((F.col("split") == "train") & (F.col("label") == 1))
+    return sampling.oversample(train.select(KEY), B.BALANCE_N, B.SEED, KEY).select("j", KEY)
+
+
+@register("smote_knn")
+def q_smote_knn(spark, sf):
+    return r6(sampling.knn(B.train_positives(spark, sf), B.KNN_FEATURES, KEY, B.KNN_K))
+
+
+@register("smote_rows")
+def q_smote_rows(spark, sf):
+    return r6(sampling.smote(B.train_positives(spark, sf), B.KNN_FEATURES, B.BALANCE_N, B.SEED,
+                             KEY, B.KNN_K))
+
+
+@register("balance_counts")
+def q_balance_counts(spark, sf):
+    p = B.prepared_split(spark, sf).filter(F.col("split") == "train")
+    bal = sampling.balance(p, B.KNN_FEATURES, "label", B.BALANCE_N, B.SEED, KEY, k=B.KNN_K)
+    return bal.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("count"))

@@ -488,3 +488,77 @@ g AS (SELECT split, prob AS value, count(*) AS n FROM ev GROUP BY split, prob)
 SELECT split, round(value, 6) AS value,
        round(sum(n) OVER (PARTITION BY split ORDER BY value) / sum(n) OVER (PARTITION BY split), 6) AS cdf
 FROM g"""
+
+# ---------------------------------------------------------------- sampling
+def _u(*parts: str) -> str:
+    """Hash uniform of parts joined by '|' (md5, first 8 hex digits / 2^32)."""
+    s = "concat_ws('|', " + ", ".join(parts) + ")"
+    return f"(CAST(('0x' || substr(md5({s}), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+KNN_F = FEATS + ["mon_05", "mon_06", "mon_07", "mon_08"]
+PREP = SPLIT + f""",
+med AS (SELECT {_MED} FROM splitted),
+imp AS (
+  SELECT obs_key, split, label, month, {", ".join(f"coalesce({f}, m_{f}) AS {f}" for f in FEATS)}
+  FROM splitted, med),
+mm AS (SELECT {", ".join(f"min({f}) AS lo_{f}, max({f}) - min({f}) AS rg_{f}" for f in FEATS)} FROM imp),
+prep AS (
+  SELECT obs_key, split, label,
+         {", ".join(f"({f} - lo_{f}) / {_nz(f'rg_{f}')} AS {f}" for f in FEATS)},
+         {", ".join(f"CAST(month = {m} AS TINYINT) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
+  FROM imp, mm),
+pos AS (SELECT * FROM prep WHERE split = 'train' AND label = 1),
+knn AS (
+  SELECT a.obs_key, b.obs_key AS nn_key,
+         sqrt({" + ".join(f"pow(a.{f} - b.{f}, 2)" for f in KNN_F)}) AS dist
+  FROM pos a JOIN pos b ON a.obs_key <> b.obs_key),
+knn_r AS (
+  SELECT *, row_number() OVER (PARTITION BY obs_key ORDER BY dist, nn_key) AS nn_rank FROM knn)"""
+
+SQL["sample_n"] = f"""WITH {CLEAN}
+SELECT obs_key FROM clean ORDER BY {_u("'42'", "obs_key")}, obs_key LIMIT 5000"""
+
+SQL["downsample"] = f"""WITH {SPLIT},
+r AS (
+  SELECT obs_key, label,
+         row_number() OVER (PARTITION BY label ORDER BY {_u("'42'", "obs_key")}, obs_key) AS rn
+  FROM splitted WHERE split = 'train')
+SELECT obs_key, label FROM r WHERE rn <= 1000"""
+
+SQL["oversample"] = f"""WITH {SPLIT},
+pos AS (SELECT obs_key FROM splitted WHERE split = 'train' AND label = 1),
+num AS (SELECT obs_key, row_number() OVER (ORDER BY obs_key) - 1 AS idx FROM pos),
+cnt AS (SELECT count(*) AS P FROM pos),
+d AS (SELECT unnest(range(0, greatest(1000 - P, 0))) AS j, P FROM cnt)
+SELECT CAST(d.j AS BIGINT) AS j, num.obs_key
+FROM d JOIN num ON num.idx = floor({_u("'42'", "'oversample'", "CAST(d.j AS VARCHAR)", "'1'")} * d.P)"""
+
+SQL["smote_knn"] = f"""WITH {PREP}
+SELECT obs_key, CAST(nn_rank AS INTEGER) AS nn_rank, nn_key, round(dist, 6) AS dist
+FROM knn_r WHERE nn_rank <= 5"""
+
+SQL["smote_rows"] = f"""WITH {PREP},
+num AS (SELECT *, row_number() OVER (ORDER BY obs_key) - 1 AS idx FROM pos),
+cnt AS (SELECT count(*) AS P, least(5, count(*) - 1) AS kk FROM pos),
+d AS (
+  SELECT j, P, kk,
+         {_u("'42'", "'smote'", "CAST(j AS VARCHAR)", "'1'")} AS u1,
+         {_u("'42'", "'smote'", "CAST(j AS VARCHAR)", "'2'")} AS u2,
+         {_u("'42'", "'smote'", "CAST(j AS VARCHAR)", "'3'")} AS u3
+  FROM (SELECT unnest(range(0, greatest(1000 - P, 0))) AS j, P, kk FROM cnt)),
+pick AS (
+  SELECT d.j, d.u3, x.obs_key AS base_key, r.nn_key
+  FROM d JOIN num x ON x.idx = floor(d.u1 * d.P)
+         JOIN knn_r r ON r.obs_key = x.obs_key AND r.nn_rank = floor(d.u2 * d.kk) + 1)
+SELECT CAST(p.j AS BIGINT) AS j,
+       {", ".join(f"round(x.{f} + p.u3 * (n.{f} - x.{f}), 6) AS {f}" for f in KNN_F)}
+FROM pick p JOIN pos x ON x.obs_key = p.base_key JOIN pos n ON n.obs_key = p.nn_key"""
+
+SQL["balance_counts"] = f"""WITH {SPLIT},
+tr AS (SELECT label FROM splitted WHERE split = 'train'),
+c AS (SELECT count(*) FILTER (WHERE label = 0) AS neg, count(*) FILTER (WHERE label = 1) AS pos FROM tr),
+n AS (SELECT least(1000, neg) AS n, pos FROM c)
+SELECT CAST(0 AS TINYINT) AS label, false AS synthetic, n AS count FROM n
+UNION ALL SELECT CAST(1 AS TINYINT), false, least(pos, n) FROM n
+UNION ALL SELECT CAST(1 AS TINYINT), true, n - pos FROM n WHERE pos < n"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -74,11 +75,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and return it.
-
-    A reliable checkpoint (never ``localCheckpoint``): later plans read the
-    written files, so a lost executor costs a re-read, not a re-run of the
-    whole upstream, and plan-time sampling jobs stop repeating it.
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return the re-read table.
+
+    One job (a reliable ``checkpoint()`` would evaluate its input twice);
+    later plans start from the written files, so a lost executor costs a
+    re-read, not a re-run of the upstream, and plan-time sampling jobs stop
+    repeating it.  Never a machine-local folder: the path is the one the
+    session names in ``spark.checkpoint.dir``.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
