@@ -72,3 +72,17 @@ KNN_FEATURES = ["f_qty", "f_price", "f_disc", "f_tax", "mon_05", "mon_06", "mon_
 def train_positives(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = prepared_split(spark, sf_dir)
     return p.filter((F.col("split") == "train") & (F.col("label") == 1)).select(KEY, *KNN_FEATURES)
+
+
+PD_FEATURES = ["f_qty", "f_disc", "f_tax"]
+
+
+def pd_scorer():
+    """The closed-form scorer as a ``ColumnScorer`` over its three inputs."""
+    from riskgrid.functions.scorer import ColumnScorer
+    return ColumnScorer(lambda c: logistic_score(c["f_qty"], c["f_disc"], c["f_tax"]), PD_FEATURES)
+
+
+def pd_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PD / bootstrap / permutation base: every validation row."""
+    return scored(spark, sf_dir).filter(F.col("split") == "val")

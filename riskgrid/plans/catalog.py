@@ -332,3 +332,58 @@ def q_balance_counts(spark, sf):
     p = B.prepared_split(spark, sf).filter(F.col("split") == "train")
     bal = sampling.balance(p, B.KNN_FEATURES, "label", B.BALANCE_N, B.SEED, KEY, k=B.KNN_K)
     return bal.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("count"))
+
+
+# ---------------------------------------------------------------- explain
+from riskgrid.operators import explain  # noqa: E402
+
+
+def _pd1(spark, sf):
+    return explain.pd_1d(B.pd_base(spark, sf), B.PD_FEATURES, B.pd_scorer(), n=B.PD_GRID)
+
+
+@register("pd_1d")
+def q_pd_1d(spark, sf):
+    return r6(_pd1(spark, sf))
+
+
+@register("pd_gradient")
+def q_pd_gradient(spark, sf):
+    g = explain.gradient(_pd1(spark, sf).withColumnRenamed("g", "x").withColumnRenamed("pd", "y"), ["feature"])
+    return r6(g.select("feature", "j", "x", F.col("y").alias("pd"), "grad"))
+
+
+@register("detect_thresholds")
+def q_detect_thresholds(spark, sf):
+    return r6(explain.detect_thresholds(_pd1(spark, sf)))
+
+
+def _pd2(spark, sf):
+    return explain.pd_2d(B.pd_base(spark, sf), explain.pairs(B.PD_FEATURES), B.pd_scorer(), n=B.PD_GRID)
+
+
+@register("pd_2d")
+def q_pd_2d(spark, sf):
+    return r6(_pd2(spark, sf))
+
+
+@register("pair_delta")
+def q_pair_delta(spark, sf):
+    return r6(explain.pair_delta(_pd2(spark, sf)))
+
+
+@register("pathways")
+def q_pathways(spark, sf):
+    return r6(explain.pathways(explain.pair_delta(_pd2(spark, sf))))
+
+
+@register("bootstrap_threshold_ci")
+def q_bootstrap_threshold_ci(spark, sf):
+    return r6(explain.threshold_ci(B.pd_base(spark, sf), B.PD_FEATURES, B.pd_scorer(), KEY,
+                                   n=B.PD_GRID, replicates=B.BOOT_B, frac=B.BOOT_FRAC, seed=B.SEED))
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf):
+    return r6(explain.permutation_importance(B.pd_base(spark, sf), B.PD_FEATURES, B.pd_scorer(), KEY,
+                                             repeats=B.PERM_REPEATS, seed=B.SEED))

@@ -562,3 +562,165 @@ n AS (SELECT least(1000, neg) AS n, pos FROM c)
 SELECT CAST(0 AS TINYINT) AS label, false AS synthetic, n AS count FROM n
 UNION ALL SELECT CAST(1 AS TINYINT), false, least(pos, n) FROM n
 UNION ALL SELECT CAST(1 AS TINYINT), true, n - pos FROM n WHERE pos < n"""
+
+# ---------------------------------------------------------------- explain
+PD_F = ["f_qty", "f_disc", "f_tax"]
+
+
+def _score(q: str = "f_qty", d: str = "f_disc", t: str = "f_tax") -> str:
+    return f"round(1 / (1 + exp(-(-2 + 0.04 * coalesce({q}, 25) + 4 * {d} - 6 * {t}))), 9)"
+
+
+def _score_with(feat: str, expr: str) -> str:
+    args = {"f_qty": "f_qty", "f_disc": "f_disc", "f_tax": "f_tax"}
+    args[feat] = expr
+    return _score(args["f_qty"], args["f_disc"], args["f_tax"])
+
+
+_PD2Q = [0.05 + (0.95 - 0.05) * i / 9 for i in range(10)]
+PD_BASE = SCORED + f""",
+val AS (SELECT * FROM scored WHERE split = 'val'),
+grid AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, quantile_cont({f}, {_qlist(_PDQ)}) AS grid FROM val" for f in PD_F)}),
+grid2 AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, quantile_cont({f}, {_qlist(_PD2Q)}) AS grid FROM val" for f in PD_F)}),
+pd AS ({" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CAST(r.i - 1 AS INTEGER) AS i, g.grid[r.i] AS g, "
+    f"avg({_score_with(f, 'g.grid[r.i]')}) AS pd "
+    f"FROM val, grid g, range(1, 11) AS r(i) WHERE g.feature = '{f}' GROUP BY r.i, g.grid[r.i]" for f in PD_F)})"""
+
+
+def _grad_sql(src: str, by: str) -> str:
+    """Gradient CTEs over ``src(by..., x, y)`` after collapsing equal x."""
+    return f"""
+col AS (SELECT {by}, x, min(y) AS y FROM {src} GROUP BY {by}, x),
+gw AS (
+  SELECT *, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY {by}) AS n,
+         lag(x) OVER w AS xm, lead(x) OVER w AS xp, lag(y) OVER w AS ym, lead(y) OVER w AS yp
+  FROM col WINDOW w AS (PARTITION BY {by} ORDER BY x)),
+gr AS (
+  SELECT {by}, CAST(j AS INTEGER) AS j, x, y, n,
+         CASE WHEN n < 2 THEN NULL
+              WHEN j = 0 THEN (yp - y) / (xp - x)
+              WHEN j = n - 1 THEN (y - ym) / (x - xm)
+              ELSE ((x - xm) * (x - xm) * yp + ((xp - x) * (xp - x) - (x - xm) * (x - xm)) * y
+                    - (xp - x) * (xp - x) * ym) / ((x - xm) * (xp - x) * ((x - xm) + (xp - x))) END AS grad
+  FROM gw),
+st AS (
+  SELECT {by}, j AS j_star, x AS x_star, y AS y_star FROM (
+    SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY abs(grad) DESC, j) AS r FROM gr WHERE n >= 3)
+  WHERE r = 1
+  UNION ALL
+  SELECT {by}, NULL AS j_star, median(x) AS x_star, median(y) AS y_star FROM gr GROUP BY {by} HAVING max(n) < 3)"""
+
+
+SQL["pd_1d"] = f"WITH {PD_BASE} SELECT feature, i, round(g, 6) AS g, round(pd, 6) AS pd FROM pd"
+
+SQL["pd_gradient"] = f"""WITH {PD_BASE}, curve AS (SELECT feature, g AS x, pd AS y FROM pd),
+{_grad_sql("curve", "feature")}
+SELECT feature, j, round(x, 6) AS x, round(y, 6) AS pd, round(grad, 6) AS grad FROM gr"""
+
+SQL["detect_thresholds"] = f"""WITH {PD_BASE}, curve AS (SELECT feature, g AS x, pd AS y FROM pd),
+{_grad_sql("curve", "feature")}
+SELECT gr.feature, round(gr.x, 6) AS x, round(gr.y, 6) AS pd, 'slope_peak/edge' AS note
+FROM gr JOIN st USING (feature)
+WHERE st.j_star IS NOT NULL AND gr.j BETWEEN st.j_star - 1 AND st.j_star + 1"""
+
+_PAIRS = [("f_qty", "f_disc"), ("f_qty", "f_tax"), ("f_disc", "f_tax")]
+
+
+def _score_with2(f1: str, e1: str, f2: str, e2: str) -> str:
+    args = {"f_qty": "f_qty", "f_disc": "f_disc", "f_tax": "f_tax"}
+    args[f1], args[f2] = e1, e2
+    return _score(args["f_qty"], args["f_disc"], args["f_tax"])
+
+
+PD2 = PD_BASE + f""",
+surf AS ({" UNION ALL ".join(
+    f"SELECT '{a}' AS f1, '{b}' AS f2, CAST(r1.i - 1 AS INTEGER) AS i1, CAST(r2.i - 1 AS INTEGER) AS i2, "
+    f"ga.grid[r1.i] AS g1, gb.grid[r2.i] AS g2, "
+    f"avg({_score_with2(a, 'ga.grid[r1.i]', b, 'gb.grid[r2.i]')}) AS pd "
+    f"FROM val, grid2 ga, grid2 gb, range(1, 11) AS r1(i), range(1, 11) AS r2(i) "
+    f"WHERE ga.feature = '{a}' AND gb.feature = '{b}' "
+    f"GROUP BY r1.i, r2.i, ga.grid[r1.i], gb.grid[r2.i]" for a, b in _PAIRS)}),
+delta AS (SELECT f1, f2, max(pd) - min(pd) AS delta FROM surf GROUP BY f1, f2)"""
+
+SQL["pd_2d"] = f"""WITH {PD2}
+SELECT f1, f2, i1, i2, round(g1, 6) AS g1, round(g2, 6) AS g2, round(pd, 6) AS pd FROM surf"""
+SQL["pair_delta"] = f"WITH {PD2} SELECT f1, f2, round(delta, 6) AS delta FROM delta"
+SQL["pathways"] = f"""WITH {PD2}
+SELECT f1 AS a, f2 AS b, round(delta, 6) AS delta, printf('%s -- %s : Δ=%.4f', f1, f2, delta) AS text
+FROM delta"""
+
+
+def _poisson_sql(u: str, lam: float = 0.8, kmax: int = 20) -> str:
+    import math
+    cdf, p, acc = [], math.exp(-lam), 0.0
+    for k in range(kmax + 1):
+        acc += p
+        cdf.append(acc)
+        p *= lam / (k + 1)
+    return "(" + " + ".join(f"CASE WHEN {u} > {c!r} THEN 1 ELSE 0 END" for c in cdf) + ")"
+
+
+SQL["bootstrap_threshold_ci"] = f"""WITH {PD_BASE},
+wt AS (
+  SELECT obs_key, b, {_poisson_sql(_u("'42'", "'boot'", "CAST(b AS VARCHAR)", "obs_key"))} AS w
+  FROM val, range(0, 20) AS rb(b)),
+sc AS ({" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, r.i - 1 AS i, g.grid[r.i] AS x, val.obs_key, "
+    f"{_score_with(f, 'g.grid[r.i]')} AS p "
+    f"FROM val, grid g, range(1, 11) AS r(i) WHERE g.feature = '{f}'" for f in PD_F)}),
+curves AS (
+  SELECT feature, -1 AS b, i, x, avg(p) AS y FROM sc GROUP BY feature, i, x
+  UNION ALL
+  SELECT sc.feature, wt.b, sc.i, sc.x, sum(wt.w * sc.p) / sum(wt.w) AS y
+  FROM sc JOIN wt USING (obs_key) GROUP BY sc.feature, wt.b, sc.i, sc.x),
+{_grad_sql("curves", "feature, b")},
+fullthr AS (SELECT feature, x_star AS thr_unit, y_star AS pd_at_thr FROM st WHERE b = -1),
+boots AS (SELECT feature, b, x_star AS xb FROM st WHERE b >= 0),
+xci AS (SELECT feature, quantile_cont(xb, 0.025) AS thr_unit_lo, quantile_cont(xb, 0.975) AS thr_unit_hi
+        FROM boots GROUP BY feature),
+long AS ({_long("val", PD_F)}),
+eb AS (
+  SELECT bt.feature, bt.b, avg(CASE WHEN l.value <= bt.xb THEN 1.0 ELSE 0.0 END) AS e
+  FROM boots bt JOIN long l USING (feature) GROUP BY bt.feature, bt.b),
+qci AS (SELECT feature, quantile_cont(e, 0.025) AS thr_q_lo, quantile_cont(e, 0.975) AS thr_q_hi
+        FROM eb GROUP BY feature),
+tq AS (
+  SELECT f.feature, avg(CASE WHEN l.value <= f.thr_unit THEN 1.0 ELSE 0.0 END) AS thr_quantile
+  FROM fullthr f JOIN long l USING (feature) GROUP BY f.feature)
+SELECT feature, round(thr_unit, 6) AS thr_unit, round(thr_unit_lo, 6) AS thr_unit_lo,
+       round(thr_unit_hi, 6) AS thr_unit_hi, round(thr_quantile, 6) AS thr_quantile,
+       round(thr_q_lo, 6) AS thr_q_lo, round(thr_q_hi, 6) AS thr_q_hi, round(pd_at_thr, 6) AS pd_at_thr
+FROM fullthr LEFT JOIN xci USING (feature) LEFT JOIN tq USING (feature) LEFT JOIN qci USING (feature)"""
+
+
+def _ap_sql(src: str, by: str) -> str:
+    return f"""(
+  SELECT {by}, sum(TP / K * pos) / max(Pt) AS ap FROM (
+    SELECT *, sum(n) OVER w AS K, sum(pos) OVER w AS TP, sum(pos) OVER (PARTITION BY {by}) AS Pt
+    FROM (SELECT {by}, prob, count(*) AS n, sum(label) AS pos FROM {src} GROUP BY {by}, prob)
+    WINDOW w AS (PARTITION BY {by} ORDER BY prob DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  GROUP BY {by})"""
+
+
+SQL["permutation_importance"] = f"""WITH {SCORED},
+val AS (SELECT *, 1 AS one FROM scored WHERE split = 'val'),
+pk AS (SELECT obs_key, row_number() OVER (ORDER BY obs_key) AS pos FROM val),
+reps AS (SELECT feature, rep FROM (VALUES ('f_qty'), ('f_disc'), ('f_tax')) AS f(feature), range(0, 5) AS r(rep)),
+don AS (
+  SELECT r.feature, r.rep,
+         CASE r.feature WHEN 'f_qty' THEN v.f_qty WHEN 'f_disc' THEN v.f_disc ELSE v.f_tax END AS value,
+         row_number() OVER (PARTITION BY r.feature, r.rep
+                            ORDER BY {_u("'42'", "CAST(r.rep AS VARCHAR)", "r.feature", "v.obs_key")}, v.obs_key) AS pos
+  FROM val v, reps r),
+tgt AS (SELECT v.*, k.pos, r.feature, r.rep FROM val v JOIN pk k USING (obs_key), reps r),
+perm AS (
+  SELECT t.feature, t.rep, t.label,
+         {_score("CASE WHEN t.feature = 'f_qty' THEN d.value ELSE t.f_qty END",
+                 "CASE WHEN t.feature = 'f_disc' THEN d.value ELSE t.f_disc END",
+                 "CASE WHEN t.feature = 'f_tax' THEN d.value ELSE t.f_tax END")} AS prob
+  FROM tgt t JOIN don d ON d.feature = t.feature AND d.rep = t.rep AND d.pos = t.pos),
+ap_perm AS {_ap_sql("perm", "feature, rep")},
+ap_base AS {_ap_sql("val", "one")}
+SELECT feature, round(avg(b.ap - p.ap), 6) AS importance_mean, round(stddev_pop(b.ap - p.ap), 6) AS importance_std
+FROM ap_perm p, ap_base b GROUP BY feature"""
