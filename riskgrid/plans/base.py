@@ -86,3 +86,28 @@ def pd_scorer():
 def pd_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PD / bootstrap / permutation base: every validation row."""
     return scored(spark, sf_dir).filter(F.col("split") == "val")
+
+
+MODEL_PARAMS = dict(max_depth=4, max_iter=20, step_size=0.1, subsample=0.8)
+SHAP_N = 20000
+_MODELS: dict = {}
+
+
+def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared split rows with the planted label: 1 when the md5 hash
+    uniform of the key falls below the closed-form score (a learnable signal)."""
+    from riskgrid.functions.exprs import hash_uniform
+    p = prepared_split(spark, sf_dir)
+    raw = scored(spark, sf_dir).select(KEY, "prob")
+    planted = (hash_uniform(F.col(KEY)) < F.col("prob")).cast("int")
+    return p.drop("label").join(raw, KEY).withColumn("label", planted).drop("prob")
+
+
+def fitted_model(spark: SparkSession, sf_dir: str):
+    """The boosted model trained on the train split (cached per application and input)."""
+    from riskgrid.operators.model import fit_gbt
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        mf = cut_lineage(model_frame(spark, sf_dir))
+        _MODELS[key] = (fit_gbt(mf.filter(F.col("split") == "train"), KNN_FEATURES, **MODEL_PARAMS), mf)
+    return _MODELS[key]

@@ -387,3 +387,70 @@ def q_bootstrap_threshold_ci(spark, sf):
 def q_permutation_importance(spark, sf):
     return r6(explain.permutation_importance(B.pd_base(spark, sf), B.PD_FEATURES, B.pd_scorer(), KEY,
                                              repeats=B.PERM_REPEATS, seed=B.SEED))
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+from riskgrid.operators import model as M  # noqa: E402
+from riskgrid.session import cut_lineage  # noqa: E402
+
+
+def _cal(spark, sf):
+    m, mf = B.fitted_model(spark, sf)
+    # scored once, read by every metric / policy branch
+    return cut_lineage(M.calibrated_scores(m, mf.filter(F.col("split") == "val"),
+                                           mf.filter(F.col("split") == "test"), B.KNN_FEATURES))
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, sf):
+    m, mf = B.fitted_model(spark, sf)
+    ev = mf.filter(F.col("split").isin(*B.EVAL_SPLITS))
+    return r6(M.score(m, ev, B.KNN_FEATURES).select(KEY, "split", "label", "prob"))
+
+
+@register("isotonic_calibrated")
+def q_isotonic_calibrated(spark, sf):
+    return r6(_cal(spark, sf).filter(F.col("calibrator") == "iso").select(KEY, "split", "label", "prob"))
+
+
+@register("sigmoid_calibrated")
+def q_sigmoid_calibrated(spark, sf):
+    return r6(_cal(spark, sf).filter(F.col("calibrator") == "sig").select(KEY, "split", "label", "prob"))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    mets, _ = M.evaluate(_cal(spark, sf), B.KS, KEY)
+    return r6(mets)
+
+
+def _shap(spark, sf):
+    m, mf = B.fitted_model(spark, sf)
+    val = sampling.sample_n(mf.filter(F.col("split") == "val"), B.SHAP_N, B.SEED, KEY)
+    return M.tree_contributions(val, m, B.KNN_FEATURES, KEY)
+
+
+@register("tree_shap")
+def q_tree_shap(spark, sf):
+    return r6(_shap(spark, sf))
+
+
+@register("shap_importance")
+def q_shap_importance(spark, sf):
+    return r6(explain.mean_abs(_shap(spark, sf).filter(F.col("feature") != "__base__")))
+
+
+@register("grid_select")
+def q_grid_select(spark, sf):
+    _, mf = B.fitted_model(spark, sf)
+    return r6(M.grid_select(mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
+                            B.KNN_FEATURES, KEY, B.ANCHOR_K, max_iter=5))
+
+
+@register("fit_report")
+def q_fit_report(spark, sf):
+    from riskgrid.plans.workflow import fit_report
+    cal = _cal(spark, sf)
+    val_iso = cal.filter((F.col("calibrator") == "iso") & (F.col("split") == "val"))
+    pol = policy.derive(val_iso, B.PRIMARY_Q, B.ANCHOR_K, key=KEY)
+    return r6(fit_report(cal, pol, "tree_contributions", B.TAIL_Q, B.TAIL_BINS).drop("operating_point"))
