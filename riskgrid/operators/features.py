@@ -17,6 +17,7 @@ from riskgrid.functions.exprs import month_dummies
 from riskgrid.operators.ranking import lookup
 from riskgrid.operators.stats import quantiles_long, to_long
 from riskgrid.schema import require_columns
+from riskgrid.session import cut_lineage
 
 
 def _wide(qt: DataFrame, by: Sequence[str], feats: Sequence[str], names: dict[int, str]) -> DataFrame:
@@ -109,8 +110,12 @@ def scale(df: DataFrame, feats: Sequence[str], kind: str = "minmax",
 
 def prepare(df: DataFrame, feats: Sequence[str], months: Sequence[int], scaler: str = "minmax",
             monthwise: bool = False) -> DataFrame:
-    """Impute -> month one-hot -> scale the continuous features."""
-    imputed = impute(df, feats, monthwise=monthwise)
+    """Impute -> month one-hot -> scale the continuous features.
+
+    The imputed table is written once (the step-2 hand-over) so that the
+    scaler fit and the transform read files instead of re-running the
+    median job inside every scalar subquery."""
+    imputed = cut_lineage(impute(df, feats, monthwise=monthwise))
     return scale(add_month_dummies(imputed, months), feats, scaler)
 
 

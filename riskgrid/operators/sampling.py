@@ -67,11 +67,15 @@ def oversample(minority: DataFrame, target: int, seed: int, key: str) -> DataFra
 
 
 # ---- exact k nearest neighbours -------------------------------------------------
-def _proj_weights(d: int) -> list[float]:
-    """A fixed unit direction with distinct weights (few projection ties)."""
-    w = [1.0 + ((i * 0.6180339887498949) % 1.0) for i in range(d)]
-    s = math.sqrt(sum(x * x for x in w))
-    return [x / s for x in w]
+def _directions(d: int, m: int = 3) -> list[list[float]]:
+    """``m`` fixed unit directions with distinct weights (few projection ties)."""
+    out = []
+    for j in range(m):
+        w = [1.0 + ((i * 0.6180339887498949 + j * 0.4142135623730951) % 1.0) * (1 if (i + j) % 2 else -1)
+             for i in range(d)]
+        s = math.sqrt(sum(x * x for x in w))
+        out.append([x / s for x in w])
+    return out
 
 
 def _dist(a: str, b: str, feats: Sequence[str]) -> Column:
@@ -82,56 +86,66 @@ def _dist(a: str, b: str, feats: Sequence[str]) -> Column:
     return F.sqrt(acc)
 
 
-def knn(points: DataFrame, feats: Sequence[str], key: str, k: int = 5) -> DataFrame:
+def knn(points: DataFrame, feats: Sequence[str], key: str, k: int = 5, max_rounds: int = 40) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by key) of every point
     among the others -> (key, nn_rank, nn_key, dist).
 
-    No cross join: points are ordered along a unit projection ``s``
-    (``|s_a - s_b| <= dist(a, b)``); the ``k`` rank-neighbours on each side
-    give an upper bound ``r_a`` on the k-th distance; every true neighbour
-    then lies in the band ``|s_b - s_a| <= r_a``, fetched by an equi-join on
-    projection bins.  Candidate pairs are the band, not all pairs.
+    No cross join.  Points are projected on 3 unit directions (each
+    ``|s_a - s_b| <= dist(a, b)``) and binned with width ``w``; a point is
+    joined with the 27 bins around it, i.e. every point inside a box of
+    half-width ``w`` in projection space, which contains the ball of radius
+    ``w``.  A point whose k-th candidate distance is ``<= w`` is exact and
+    done; the others go to the next round with ``w`` doubled.  Pairs are
+    emitted only inside the box, so the work follows the local density, not
+    the square of the class size.  Requires more than ``k`` points.
     """
-    w = _proj_weights(len(feats))
-    s = None
-    for wi, f in zip(w, feats):
-        t = F.col(f) * F.lit(wi)
-        s = t if s is None else s + t
-    pts = points.select(F.col(key).alias("_key"), *feats).withColumn("_s", s)
-    # the ranked points feed four joins below: materialise them once
-    ranked = cut_lineage(ordered(cut_lineage(pts), [("_s", True), ("_key", True)],
-                                 sample_id=F.col("_key")).select("_key", "_s", "_rn", *feats))
-
-    # 1) upper bound: k rank-neighbours on each side (2k candidates per point)
-    offs = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
-    near = ranked.select(F.col("_key").alias("a_key"), F.explode(offs).alias("_o"), "_rn") \
-        .select("a_key", (F.col("_rn") + F.col("_o")).alias("_rn"))
-    a, b = ranked.alias("a"), ranked.alias("b")
-    cand = near.join(b, "_rn").select("a_key", *[F.col(f"b.{f}").alias(f"b_{f}") for f in feats])
-    cand = cand.join(ranked.select(F.col("_key").alias("a_key"), *[F.col(f).alias(f"a_{f}") for f in feats]),
-                     "a_key")
-    d_ub = F.sqrt(sum((F.pow(F.col(f"a_{f}") - F.col(f"b_{f}"), 2) for f in feats[1:]),
-                      F.pow(F.col(f"a_{feats[0]}") - F.col(f"b_{feats[0]}"), 2)))
-    wk = Window.partitionBy("a_key").orderBy("_d")
-    radius = cand.select("a_key", d_ub.alias("_d")) \
-        .withColumn("_i", F.row_number().over(wk)).filter(F.col("_i") == k) \
-        .select("a_key", F.col("_d").alias("_r"))
-
-    # 2) band join on projection bins of width = median radius
-    width = radius.agg(F.percentile_approx("_r", 0.5).alias("w")) \
-        .select(F.greatest(F.col("w"), F.lit(1e-9)).alias("w")).scalar()
-    qa = ranked.join(radius, F.col("_key") == F.col("a_key")).select(
-        "_key", "_s", "_r", *feats,
-        F.explode(F.sequence(F.floor((F.col("_s") - F.col("_r")) / width).cast("long"),
-                             F.floor((F.col("_s") + F.col("_r")) / width).cast("long"))).alias("_bin"))
-    qb = ranked.select("_key", "_s", *feats, F.floor(F.col("_s") / width).cast("long").alias("_bin"))
-    pairs = qa.alias("a").join(qb.alias("b"), "_bin").filter(
-        (F.col("a._key") != F.col("b._key")) & (F.abs(F.col("b._s") - F.col("a._s")) <= F.col("a._r")))
-    scored = pairs.select(F.col("a._key").alias(key), F.col("b._key").alias("nn_key"),
-                          _dist("a", "b", feats).alias("dist"))
-    wn = Window.partitionBy(key).orderBy("dist", "nn_key")
-    return scored.withColumn("nn_rank", F.row_number().over(wn)).filter(F.col("nn_rank") <= k) \
-        .select(key, "nn_rank", "nn_key", "dist")
+    dirs = _directions(len(feats))
+    proj = []
+    for j, d in enumerate(dirs):
+        e = None
+        for wi, f in zip(d, feats):
+            t = F.col(f).cast("double") * F.lit(wi)
+            e = t if e is None else e + t
+        proj.append(e.alias(f"_s{j}"))
+    pts = cut_lineage(points.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f) for f in feats],
+                                    *proj))
+    st = pts.agg(*[F.min(f"_s{j}").alias(f"lo{j}") for j in range(3)],
+                 *[F.max(f"_s{j}").alias(f"hi{j}") for j in range(3)], F.count(F.lit(1)).alias("n")).first()
+    n = int(st["n"])
+    span = max(st[f"hi{j}"] - st[f"lo{j}"] for j in range(3)) or 1.0
+    w = span * (max(k, 1) / max(n, 1)) ** (1.0 / 3.0)      # expected k-neighbour box at uniform density
+    todo, done = pts, None
+    for _ in range(max_rounds):
+        last = w >= span
+        bins_b = [F.floor(F.col(f"_s{j}") / F.lit(w)).cast("long").alias(f"_b{j}") for j in range(3)]
+        qb = pts.select("_key", *feats, *[f"_s{j}" for j in range(3)], *bins_b)
+        qa = todo.select("_key", *feats, *[f"_s{j}" for j in range(3)])
+        for j in range(3):
+            c = F.floor(F.col(f"_s{j}") / F.lit(w)).cast("long")
+            qa = qa.withColumn(f"_b{j}", F.explode(F.array(c - 1, c, c + 1)))
+        cond = [F.col("a._key") != F.col("b._key")]
+        pairs = qa.alias("a").join(qb.alias("b"), [f"_b{j}" for j in range(3)])
+        for j in range(3):
+            cond.append(F.abs(F.col(f"a._s{j}") - F.col(f"b._s{j}")) <= F.lit(w))
+        c_all = cond[0]
+        for c in cond[1:]:
+            c_all = c_all & c
+        cand = pairs.filter(c_all).select(F.col("a._key").alias(key), F.col("b._key").alias("nn_key"),
+                                          _dist("a", "b", feats).alias("dist"))
+        wn = Window.partitionBy(key).orderBy("dist", "nn_key")
+        top = cand.withColumn("nn_rank", F.row_number().over(wn)).filter(F.col("nn_rank") <= k)
+        ok = top.groupBy(key).agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_m"))
+        if last:
+            good = ok.select(key)       # the box now spans every point: exact for all
+        else:
+            good = ok.filter((F.col("_c") == k) & (F.col("_m") <= F.lit(w))).select(key)
+        res = cut_lineage(top.join(good, key, "left_semi").select(key, "nn_rank", "nn_key", "dist"))
+        done = res if done is None else done.unionByName(res)
+        todo = cut_lineage(todo.join(res.select(F.col(key).alias("_key")).distinct(), "_key", "left_anti"))
+        if last or todo.isEmpty():
+            break
+        w *= 2.0
+    return done
 
 
 def smote(minority: DataFrame, feats: Sequence[str], target: int, seed: int, key: str,
