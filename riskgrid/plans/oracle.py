@@ -330,7 +330,7 @@ SELECT obs_key, {", ".join(f"round(({f} - lo_{f}) / {_nz(f'rg_{f}')}, 6) AS {f}"
 FROM imp, p"""
 
 SQL["class_weight"] = f"""WITH {SPLIT}
-SELECT split, CAST(sum(label) AS BIGINT) AS pos, count(*) - sum(label) AS neg,
+SELECT split, CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg,
        round((count(*) - sum(label)) / greatest(sum(label), 1), 6) AS weight
 FROM splitted GROUP BY split"""
 

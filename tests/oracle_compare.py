@@ -70,6 +70,10 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose=True) -> tuple[bool
     dc, dr = rows_of(d_pdf)
     if sc != dc:
         return False, f"{name}: columns differ spark={sc} duck={dc}"
+    kinds = [(c, s_pdf[c].dtype.kind, d_pdf[c].dtype.kind) for c in sc
+             if s_pdf[c].dtype.kind != d_pdf[c].dtype.kind and len(s_pdf) and len(d_pdf)]
+    if kinds:
+        return False, f"{name}: column kinds differ {kinds}"
     if len(sr) != len(dr):
         return False, f"{name}: rows differ spark={len(sr)} duck={len(dr)}"
     bad = [(a, b) for a, b in zip(sr, dr) if a != b]
