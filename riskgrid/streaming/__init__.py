@@ -1 +1,4 @@
-
+"""No streaming operators: the reference workload is batch only (no
+watermarks, windows over event time, or state).  Every operator in
+``riskgrid.operators`` that is a per-row projection or filter (cleaning,
+scoring, ``policy.flag``) also applies unchanged to a streaming DataFrame."""
