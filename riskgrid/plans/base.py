@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskgrid.operators.clean import basic_clean, bounds, calendar, keep_months
 from riskgrid.operators.split import time_split
-from riskgrid.session import cut_lineage
+from riskgrid.session import stage_table
 from riskgrid.sources.fixtures import KEY, logistic_score, obs
 
 # ---- fixed query parameters (FIXTURES sizing at sf0.01) ----
@@ -44,9 +44,12 @@ def clean_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # boundary sample for the ordered split: the in-season scan, no dedup shuffle
-    pre = keep_months(calendar(bounds(obs(spark, sf_dir))), KEEP_MONTHS)
-    # the split feeds several aggregations and ordered passes: written once
-    return cut_lineage(time_split(clean_obs(spark, sf_dir), key=KEY, sample_from=pre))
+    # the split feeds every later stage (the reference's step-1 hand-over):
+    # written once per application and input folder
+    def build():
+        pre = keep_months(calendar(bounds(obs(spark, sf_dir))), KEEP_MONTHS)
+        return time_split(clean_obs(spark, sf_dir), key=KEY, sample_from=pre)
+    return stage_table(spark, "split", sf_dir, build)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +66,8 @@ def prepared_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     (fitted on all rows before the split, as the reference does)."""
     from riskgrid.operators.features import prepare
     from riskgrid.sources.fixtures import FEATURES
-    return prepare(split_obs(spark, sf_dir), FEATURES, KEEP_MONTHS, "minmax")
+    return stage_table(spark, "prepared", sf_dir,
+                       lambda: prepare(split_obs(spark, sf_dir), FEATURES, KEEP_MONTHS, "minmax"))
 
 
 KNN_FEATURES = ["f_qty", "f_price", "f_disc", "f_tax", "mon_05", "mon_06", "mon_07", "mon_08"]
@@ -108,6 +112,6 @@ def fitted_model(spark: SparkSession, sf_dir: str):
     from riskgrid.operators.model import fit_gbt
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        mf = cut_lineage(model_frame(spark, sf_dir))
+        mf = stage_table(spark, "model_frame", sf_dir, lambda: model_frame(spark, sf_dir))
         _MODELS[key] = (fit_gbt(mf.filter(F.col("split") == "train"), KNN_FEATURES, **MODEL_PARAMS), mf)
     return _MODELS[key]

@@ -391,14 +391,14 @@ def q_permutation_importance(spark, sf):
 
 # ---------------------------------------------------------------- models (rows-only checks)
 from riskgrid.operators import model as M  # noqa: E402
-from riskgrid.session import cut_lineage  # noqa: E402
+from riskgrid.session import stage_table  # noqa: E402
 
 
 def _cal(spark, sf):
     m, mf = B.fitted_model(spark, sf)
     # scored once, read by every metric / policy branch
-    return cut_lineage(M.calibrated_scores(m, mf.filter(F.col("split") == "val"),
-                                           mf.filter(F.col("split") == "test"), B.KNN_FEATURES))
+    return stage_table(spark, "calibrated", sf, lambda: M.calibrated_scores(
+        m, mf.filter(F.col("split") == "val"), mf.filter(F.col("split") == "test"), B.KNN_FEATURES))
 
 
 @register("gbt_scores")

@@ -74,6 +74,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def write_lineage(df) -> str:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return its path (see ``cut_lineage``)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def cut_lineage(df):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return the re-read table.
@@ -84,7 +93,26 @@ def cut_lineage(df):
     repeating it.  Never a machine-local folder: the path is the one the
     session names in ``spark.checkpoint.dir``.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(write_lineage(df))
+
+
+_STAGES: dict[tuple, str] = {}
+
+
+def stage_table(spark: SparkSession, name: str, inputs: str, build):
+    """A hand-over table written once per application and input folder.
+
+    The reference runs as steps that exchange Parquet files (cleaned split,
+    prepared features, scored sets); ``stage_table`` is that exchange: the
+    first query that needs stage ``name`` over ``inputs`` runs ``build()`` and
+    writes it under the shared checkpoint folder, later queries of the same
+    application read the files.  Inputs are immutable, so the table is valid
+    for the life of the application; a lost executor re-reads files instead
+    of re-running the stage.
+    """
+    key = (spark.sparkContext.applicationId, name, inputs.rstrip("/"))
+    path = _STAGES.get(key)
+    if path is None:
+        path = write_lineage(build())
+        _STAGES[key] = path
     return spark.read.parquet(path)
