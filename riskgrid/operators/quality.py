@@ -85,12 +85,20 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[s
     rng = rng.select(*by, "feature",
                      F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    get = lookup(rng, [*by, "feature"], ["lo", "hi"])
-    lo, hi = get("lo"), get("hi")
+    # one row per (group, feature): bounded by the parameters, broadcast to a
+    # null-safe equi-join (a map lookup over the unpivot output trips Spark's
+    # subexpression codegen and falls back to interpreted execution)
+    keys = [*by, "feature"]
+    r = rng.select(*[F.col(c).alias(f"_r_{c}") for c in keys], "lo", "hi")
+    cond = None
+    for c in keys:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    lo, hi = F.col("lo"), F.col("hi")
     b = F.least(F.floor((F.col("value") - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1))
-    counted = long.select(*by, "feature", b.alias("bin"), lo.alias("lo"), hi.alias("hi")) \
-        .groupBy(*by, "feature", "bin").agg(F.count(F.lit(1)).alias("count"),
-                                            F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    counted = long.join(F.broadcast(r), cond, "inner") \
+        .select(*keys, b.alias("bin"), "lo", "hi") \
+        .groupBy(*keys, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
     w = (F.col("hi") - F.col("lo")) / bins
     return counted.select(*by, "feature", "bin", (F.col("lo") + w * F.col("bin")).alias("bin_low"),
                           (F.col("lo") + w * (F.col("bin") + 1)).alias("bin_high"), "count")

@@ -29,9 +29,12 @@ def lookup(small: DataFrame, by: Sequence[str], values: Sequence[str]) -> Callab
     by = list(by)
     val = F.struct(*[F.col(v) for v in values])
     if by:
+        # a single key column is the map key itself (struct keys only when needed)
+        def k(cols):
+            return cols[0] if len(cols) == 1 else F.struct(*cols)
         m = small.select(F.map_from_entries(F.collect_list(
-            F.struct(F.struct(*[F.col(c) for c in by]).alias("k"), val.alias("v"))))).scalar()
-        s = F.element_at(m, F.struct(*[F.col(c) for c in by]))
+            F.struct(k([F.col(c) for c in by]).alias("k"), val.alias("v"))))).scalar()
+        s = F.element_at(m, k([F.col(c) for c in by]))
     else:
         s = small.select(val.alias("v")).scalar()
     return lambda name: s[name]
