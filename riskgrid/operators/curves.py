@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from riskgrid.functions.exprs import guarded_div
 from riskgrid.operators.stats import quantiles_long
 from riskgrid.plans.ordering import ordered
+from riskgrid.session import checked_broadcast
 
 
 def score_groups(scored: DataFrame, prob: str = "prob", label: str = "label",
@@ -136,7 +137,7 @@ def reliability(scored: DataFrame, prob: str = "prob", label: str = "label", n_b
         raise ValueError("reliability needs a group column")
     e = _edges(scored, prob, n_bins, by).select(
         *by, F.slice("edges", 2, n_bins - 1).alias("inner"))
-    j = scored.select(*by, prob, label).join(F.broadcast(e), by)   # one row per group
+    j = scored.select(*by, prob, label).join(checked_broadcast(e, None), by)   # one row per group
     p = F.col(prob)
     b = F.size(F.filter("inner", lambda t: t < p))
     return j.groupBy(*by, b.alias("bin")).agg(
@@ -162,7 +163,7 @@ def calibration_table(scored: DataFrame, prob: str = "prob", label: str = "label
     if tail_q is not None:
         cut = quantiles_long(rows.select(*by, F.col("_p").alias("value")), [tail_q], by=by) \
             .select(*by, F.col("quantile").alias("_cut"))
-        rows = rows.join(F.broadcast(cut), by).filter(F.col("_p") >= F.col("_cut")).drop("_cut")
+        rows = rows.join(checked_broadcast(cut, None), by).filter(F.col("_p") >= F.col("_cut")).drop("_cut")
     e = _edges(rows, "_p", n_bins, by)
     n_eq = min(n_bins, 5)
     eq = F.transform(F.sequence(F.lit(0), F.lit(n_eq - 1)),
@@ -170,7 +171,7 @@ def calibration_table(scored: DataFrame, prob: str = "prob", label: str = "label
     uniq = F.array_sort(F.array_distinct("edges"))
     e = e.select(*by, F.when(F.size(uniq) <= 2, eq).otherwise(uniq).alias("edges"))
     e = e.join(base, by)
-    j = rows.join(F.broadcast(e), by)
+    j = rows.join(checked_broadcast(e, None), by)
     inner = F.slice("edges", 2, F.size("edges") - 2)
     b = F.size(F.filter(inner, lambda t: t <= F.col("_p")))
     agg = j.groupBy(*by, b.alias("bin")).agg(

@@ -24,7 +24,7 @@ from riskgrid.operators.curves import auc_ap
 from riskgrid.operators.sampling import bootstrap_weights
 from riskgrid.operators.stats import quantile_array, quantiles, quantiles_long
 from riskgrid.plans.ordering import ordered
-from riskgrid.session import cut_lineage
+from riskgrid.session import checked_broadcast, cut_lineage
 
 
 def pairs(features: Sequence[str]) -> list[tuple[str, str]]:
@@ -183,7 +183,7 @@ def threshold_ci(base: DataFrame, features: Sequence[str], scorer, key: str, n:
         F.transform(F.array_sort(F.collect_list(F.struct("b", "xb"))), lambda s: s["xb"]).alias("xs")) \
         .join(full.select("feature", "thr_unit"), "feature")
     long = base.select(*features).unpivot([], list(features), "feature", "value")
-    lj = long.join(F.broadcast(thr_map), "feature")          # one row per feature
+    lj = long.join(checked_broadcast(thr_map, len(features)), "feature")   # one row per feature
     ecdf_aggs = [F.avg(F.when(F.col("value") <= F.col("thr_unit"), 1.0).otherwise(0.0)).alias("thr_quantile")]
     ecdf_aggs += [F.avg(F.when(F.col("value") <= F.element_at("xs", b + 1), 1.0).otherwise(0.0)).alias(f"_e{b}")
                   for b in range(B)]
@@ -225,7 +225,7 @@ def permutation_importance(base: DataFrame, features: Sequence[str], scorer, key
                                                      for f in feats])) \
         .withColumn("_u", hash_uniform(seed, F.col("rep"), F.col("feature"), F.col(key)))
     don = ordered(donors.select("feature", "rep", key, "_u", "value"), [("_u", True), (key, True)],
-                  within=["feature", "rep"], sample_id=F.col(key)) \
+                  within=["feature", "rep"], sample_id=F.col(key), group_bound=len(feats) * repeats) \
         .select("feature", "rep", F.col("_rn").alias("pos"), F.col("value").alias("perm_value"))
     tgt = base.join(keyed, key).select("*", F.inline(reps))
     j = tgt.join(don, ["feature", "rep", "pos"])

@@ -17,7 +17,7 @@ from riskgrid.functions.exprs import month_dummies
 from riskgrid.operators.ranking import lookup
 from riskgrid.operators.stats import quantiles_long, to_long
 from riskgrid.schema import require_columns
-from riskgrid.session import cut_lineage
+from riskgrid.session import checked_broadcast, cut_lineage
 
 
 def _wide(qt: DataFrame, by: Sequence[str], feats: Sequence[str], names: dict[int, str]) -> DataFrame:
@@ -49,7 +49,7 @@ def impute(df: DataFrame, feats: Sequence[str], monthwise: bool = False,
         return df.withColumns({f: F.coalesce(F.col(f), get(f"{f}_median").cast(df.schema[f].dataType))
                                for f in feats})
     med = fit_median(df, feats, by=[month_col], method=method)
-    joined = df.join(F.broadcast(med), on=month_col, how="left")
+    joined = df.join(checked_broadcast(med, 12), on=month_col, how="left")   # calendar months
     out = joined.withColumns({f: F.coalesce(F.col(f), F.col(f"{f}_median").cast(df.schema[f].dataType))
                               for f in feats})
     return out.select(*df.columns)

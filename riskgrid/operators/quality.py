@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskgrid.functions.exprs import clip, finite
 from riskgrid.operators.ranking import lookup
 from riskgrid.operators.stats import quantiles_long, to_long
+from riskgrid.session import checked_broadcast
 
 
 def finite_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -96,7 +97,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[s
         cond = e if cond is None else cond & e
     lo, hi = F.col("lo"), F.col("hi")
     b = F.least(F.floor((F.col("value") - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1))
-    counted = long.join(F.broadcast(r), cond, "inner") \
+    counted = long.join(checked_broadcast(r, None if by else len(cols)), cond, "inner") \
         .select(*keys, b.alias("bin"), "lo", "hi") \
         .groupBy(*keys, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
     w = (F.col("hi") - F.col("lo")) / bins
@@ -149,8 +150,8 @@ def stratified_density(df: DataFrame, cols: Sequence[str], label: str = "label",
                      lambda i: F.col("mn") + (F.col("mx") + F.lit(1e-12) - F.col("mn")) * i / F.lit(n_eq - 1))
     edges = edges_q.select(*by, "feature",
                            F.when(F.size("qe") < 3, eq).otherwise(F.col("qe")).alias("edges"))
-    # one row per feature: a bounded broadcast side, joined on the feature name
-    long = long.join(F.broadcast(edges), [*by, "feature"])
+    # one row per (group, feature): hinted when there are no groups, else sized by AQE
+    long = long.join(checked_broadcast(edges, None if by else len(cols)), [*by, "feature"])
     e = F.col("edges")
     x = F.col("value")
     idx = F.size(F.filter(e, lambda t: t <= x)) - 1

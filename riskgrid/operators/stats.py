@@ -26,7 +26,7 @@ def to_long(df: DataFrame, value_cols: Sequence[str], by: Sequence[str] = (),
 def quantiles_long(long: DataFrame, qs: Sequence[float], by: Sequence[str] = (),
                    value_col: str = "value", method: str = "exact",
                    interpolation: str = "linear", accuracy: int = 10000,
-                   small_groups: bool = True) -> DataFrame:
+                   group_bound: int | None = None) -> DataFrame:
     """Quantiles of ``value_col`` per ``by`` group -> (by..., q_idx, q, quantile).
 
     ``exact`` first counts each distinct value (map-side partial aggregation
@@ -50,7 +50,7 @@ def quantiles_long(long: DataFrame, qs: Sequence[float], by: Sequence[str] = (),
 
     counts = long.groupBy(*by, value_col).agg(F.count(F.lit(1)).alias("_c"))
     cum = ordered(counts, [(value_col, True)], sums={"_cum": F.col("_c")}, within=by,
-                  small_groups=small_groups)
+                  group_bound=group_bound)
     first = F.col("_cum") - F.col("_c")          # 0-based first position of the value
     last = F.col("_cum") - 1
     nm1 = (F.col("_cum_total") - 1).cast("double")

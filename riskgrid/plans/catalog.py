@@ -17,6 +17,7 @@ from riskgrid.functions.exprs import date_key
 from riskgrid.operators import clean, ranking
 from riskgrid.operators.split import split_summary
 from riskgrid.plans import base as B
+from riskgrid.session import checked_broadcast
 from riskgrid.sources.fixtures import KEY, obs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,7 +233,7 @@ def q_ecdf_at(spark, sf):
     df = B.clean_obs(spark, sf)
     long = stats.to_long(df, FEATURES, finite_only=False)
     means = long.groupBy("feature").agg(F.avg("value").alias("mean"))
-    j = long.join(F.broadcast(means), "feature")
+    j = long.join(checked_broadcast(means, len(FEATURES)), "feature")
     return r6(j.groupBy("feature").agg(
         F.avg(F.when(F.col("value") <= F.col("mean"), 1.0).otherwise(0.0)).alias("ecdf")))
 

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskgrid.session import shuffle_partitions
+from riskgrid.session import checked_broadcast, shuffle_partitions
 
 MAX_BUCKETS = 8192
 SAMPLE_PER_BUCKET = 20
@@ -98,7 +98,7 @@ def bucket_bounds(df: DataFrame, keys: list[Column], sample_id: Column,
 def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
             sums: dict[str, Column] | None = None, within: Sequence[str] = (),
             sample_id: Column | None = None, rn_col: str = "_rn",
-            n_buckets: int | None = None, small_groups: bool = True,
+            n_buckets: int | None = None, group_bound: int | None = None,
             sample_from: DataFrame | None = None) -> DataFrame:
     """Add ``rn_col`` (1-based position in ``order`` inside ``within``) and its
     group size ``<rn_col>_total``; for each ``sums`` entry an inclusive running
@@ -106,8 +106,9 @@ def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
 
     ``order`` is a list of ``(column, ascending)``; descending is allowed for
     numeric columns.  ``sample_id`` identifies rows for the boundary sample
-    (defaults to the order columns).  ``small_groups`` broadcasts the offsets
-    table (groups x buckets rows); pass False for unbounded ``within``.
+    (defaults to the order columns).  The offsets table has groups x buckets
+    rows; it is hinted for broadcast when that is bounded by parameters (no
+    ``within``, or ``group_bound`` groups at most), else AQE sizes the join.
     ``sample_from`` may name a cheaper relation with the same key columns
     (e.g. the scan before a de-duplication shuffle) to draw the boundary
     sample from; boundaries only steer balance, never the result.
@@ -140,8 +141,8 @@ def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
         off_cols += [F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}"),
                      F.sum(f"_t_{n}").over(group).alias(f"_g_{n}")]
     offsets = stats.select(*off_cols)
-    if small_groups:
-        offsets = F.broadcast(offsets)
+    groups = 1 if not within else group_bound
+    offsets = checked_broadcast(offsets, None if groups is None else groups * (len(bounds) + 1))
 
     lo, of = local.alias("_lo"), offsets.alias("_of")
     cond = F.col("_lo._bkt") == F.col("_of._bkt")

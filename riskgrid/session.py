@@ -22,8 +22,10 @@ _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # a broadcast side must be proven small; 64 MB is the ceiling for the
-    # planner's own choice, explicit hints go through ``checked_broadcast``
+    # planner's own choice and for AQE's run-time choice (measured size),
+    # explicit hints go through ``checked_broadcast``
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     # checkpoint files of dropped DataFrames are removed by the context cleaner
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -96,6 +98,27 @@ def cut_lineage(df):
     return df.sparkSession.read.parquet(write_lineage(df))
 
 
+# rows a hinted broadcast side may hold (narrow parameter rows, a few MB)
+BROADCAST_MAX_ROWS = 100_000
+
+
+def checked_broadcast(df, bound_rows: int | None):
+    """Broadcast hint only behind a proven size bound.
+
+    ``bound_rows`` is an upper bound on the rows of ``df`` that follows from
+    the query parameters (features, buckets, months, replicates).  Within
+    ``BROADCAST_MAX_ROWS`` the side is hinted; when the row count depends on
+    the data (one row per user group) pass None: no hint is given, AQE
+    measures the materialised side at run time and broadcasts it only below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else keeps the
+    shuffled join.
+    """
+    from pyspark.sql import functions as F
+    if bound_rows is not None and int(bound_rows) <= BROADCAST_MAX_ROWS:
+        return F.broadcast(df)
+    return df
+
+
 _STAGES: dict[tuple, str] = {}
 
 
