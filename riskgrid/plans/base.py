@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgrid.operators.clean import basic_clean, bounds, calendar, keep_months
+from riskgrid.operators.clean import basic_clean
 from riskgrid.operators.split import time_split
 from riskgrid.session import stage_table
 from riskgrid.sources.fixtures import KEY, logistic_score, obs
@@ -39,17 +39,18 @@ KNN_K = 5
 
 
 def clean_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return basic_clean(obs(spark, sf_dir), KEEP_MONTHS)
+    """The cleaned in-season table (bounds, dedup, calendar, season): the
+    first hand-over, written once; its files are split by the dedup shuffle,
+    so every later scan is parallel whatever the source's row groups."""
+    return stage_table(spark, "clean", sf_dir, lambda: basic_clean(obs(spark, sf_dir), KEEP_MONTHS))
 
 
 def split_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # boundary sample for the ordered split: the in-season scan, no dedup shuffle
     # the split feeds every later stage (the reference's step-1 hand-over):
     # written once per application and input folder
-    def build():
-        pre = keep_months(calendar(bounds(obs(spark, sf_dir))), KEEP_MONTHS)
-        return time_split(clean_obs(spark, sf_dir), key=KEY, sample_from=pre)
-    return stage_table(spark, "split", sf_dir, build)
+    return stage_table(spark, "split", sf_dir,
+                       lambda: time_split(clean_obs(spark, sf_dir), key=KEY))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
