@@ -42,7 +42,8 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "label", max
     """Gradient-boosted trees with the class weight, row subsampling and
     ``maxBins=256``; a fixed number of trees (Spark's validation stop can
     halt after one tree on weak labels)."""
-    data = assemble(with_class_weight(train, label), features)
+    weighted = train if "w" in train.columns else with_class_weight(train, label)
+    data = assemble(weighted, features)
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="w", maxDepth=max_depth,
                         maxIter=max_iter, stepSize=step_size, subsamplingRate=subsample,
                         featureSubsetStrategy=feature_subset, maxBins=max_bins, seed=seed)
@@ -81,21 +82,37 @@ def evaluate(scored: DataFrame, ks: Sequence[int], key: str, label: str = "label
 
 def grid_select(train: DataFrame, val: DataFrame, features: Sequence[str], key: str,
                 anchor_k: int, depths=(3, 4), rates=(0.03, 0.05), label: str = "label",
-                max_iter: int = 10, seed: int = 42) -> DataFrame:
+                max_iter: int = 10, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """Fit every grid point, calibrate both ways on validation, score by
     precision@anchor_k (best of the two); the first best wins.
-    -> (max_depth, step_size, p_at_k_iso, p_at_k_sig, score, selected)."""
-    rows = []
-    for md, lr in itertools.product(depths, rates):
-        m = fit_gbt(train, features, label, md, max_iter, lr, seed=seed)
-        sv = score(m, val, features, "prob_raw")
+    -> (max_depth, step_size, p_at_k_iso, p_at_k_sig, score, selected).
+
+    The class weight is computed once for the grid; grid points are fitted
+    concurrently (``parallelism`` driver threads submitting Spark jobs, as
+    ``TrainValidationSplit(parallelism=...)`` does), and each point's
+    validation scores are written once, then read by both calibrators and
+    the precision@k pass instead of re-running the trees per consumer.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskgrid.session import cut_lineage
+    train_w = with_class_weight(train, label)
+    grid = list(itertools.product(depths, rates))
+
+    def run(point):
+        md, lr = point
+        m = fit_gbt(train_w, features, label, md, max_iter, lr, seed=seed)
+        sv = cut_lineage(score(m, val, features, "prob_raw"))
         res = {}
         for name, cal in (("iso", IsotonicCalibrator("prob_raw", label)),
                           ("sig", SigmoidCalibrator("prob_raw", label))):
             c = cal.fit(sv).transform(sv, "prob")
             r = precision_recall_at_k(c, [anchor_k], "prob", label, key).first()
             res[name] = float(r["precision"])
-        rows.append((md, lr, res["iso"], res["sig"], max(res.values())))
+        return (md, lr, res["iso"], res["sig"], max(res.values()))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(int(parallelism), len(grid)))) as pool:
+        rows = list(pool.map(run, grid))
     best = max(range(len(rows)), key=lambda i: (rows[i][4], -i))
     data = [(*r, i == best) for i, r in enumerate(rows)]
     return train.sparkSession.createDataFrame(

@@ -117,3 +117,14 @@ def test_histogram_plan_compiles_whole_stage(spark):
     h = histogram(df, ["a", "b"], 10)
     assert h.agg(F.sum("count")).first()[0] == 4000
     assert "BroadcastHashJoin" in _plan(h) or "BroadcastExchange" in _plan(h)
+
+
+def test_grid_select_one_winner(spark):
+    from __spark_entry__ import queries
+    g = queries()["grid_select"](spark, SF001).toPandas()
+    assert len(g) == 4 and int(g["selected"].sum()) == 1
+    assert ((g["score"] >= 0) & (g["score"] <= 1)).all()
+    assert np.allclose(g["score"], g[["p_at_k_iso", "p_at_k_sig"]].max(axis=1))
+    win = g[g["selected"]].index[0]
+    assert g.loc[win, "score"] == g["score"].max()
+    assert win == g.index[g["score"] == g["score"].max()][0]
