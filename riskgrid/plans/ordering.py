@@ -144,10 +144,21 @@ def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
     groups = 1 if not within else group_bound
     offsets = checked_broadcast(offsets, None if groups is None else groups * (len(bounds) + 1))
 
+    if not bounds and not within:
+        # one bucket, no groups: offsets are zero and the totals are scalar
+        # subqueries (a join on a constant bucket would fold to a cross join)
+        out = [F.col(f"`{c}`") for c in df.columns]
+        out += [F.col("_l_rn").cast("long").alias(rn_col),
+                base.agg(F.count(F.lit(1))).scalar().alias(f"{rn_col}_total")]
+        for n in sums:
+            out += [F.col(f"_l_{n}").alias(n), base.agg(F.sum(f"_v_{n}")).scalar().alias(f"{n}_total")]
+        return local.select(*out)
+
     lo, of = local.alias("_lo"), offsets.alias("_of")
-    cond = F.col("_lo._bkt") == F.col("_of._bkt")
+    cond = (F.col("_lo._bkt") == F.col("_of._bkt")) if bounds else None
     for c in within:
-        cond = cond & F.col(f"_lo.{c}").eqNullSafe(F.col(f"_of.{c}"))
+        e = F.col(f"_lo.{c}").eqNullSafe(F.col(f"_of.{c}"))
+        cond = e if cond is None else cond & e
     joined = lo.join(of, cond, "inner")
     out = [F.col(f"_lo.`{c}`").alias(c) for c in df.columns]
     out += [(F.col("_lo._l_rn") + F.col("_of._o_rn")).alias(rn_col),

@@ -128,3 +128,12 @@ def test_grid_select_one_winner(spark):
     win = g[g["selected"]].index[0]
     assert g.loc[win, "score"] == g["score"].max()
     assert win == g.index[g["score"] == g["score"].max()][0]
+
+
+def test_no_pairs_join_in_any_sql_checked_plan(spark):
+    """Every query with a DuckDB twin plans without all-pairs joins."""
+    from __spark_entry__ import oracle_sql, queries
+    q = queries()
+    for name in sorted(oracle_sql()):
+        p = _plan(q[name](spark, SF001))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
