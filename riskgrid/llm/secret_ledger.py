@@ -94,6 +94,8 @@ def scan_versions(versions: DataFrame, ledger_path: str, paths: list[str], conte
     keys = [r.key for r in rules]
     wanted = F.array(*[F.lit(k) for k in keys])
     text = text_or_empty(content)
+    if {"blob", "findings"} & set(paths):
+        raise ValueError("paths may not be named blob or findings")
     blobs = (versions.select(F.sha2(text, 256).alias("blob"), text.alias("content"))
              .groupBy("blob").agg(F.first("content").alias("content")))
     ledger = read_ledger(spark, ledger_path)
@@ -126,6 +128,20 @@ def scan_versions(versions: DataFrame, ledger_path: str, paths: list[str], conte
                     F.coalesce("findings", F.array().cast(_FINDINGS)).alias("findings")))
 
 
+def redact(found: DataFrame, content: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``found`` with every finding's span in ``content`` replaced by ``mark``
+    (overlapping spans by one) and without its blob and findings columns."""
+    text = F.col(f"`{content}`")
+    spans = F.array_sort(F.transform("findings", lambda f: F.struct(f["start"].alias("a"), f["end"].alias("b"))))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    # copy the text up to each span, then the mark; spans that begin inside the last one only extend it
+    done = F.aggregate(spans, start, lambda acc, s: F.struct(
+        F.when(s["a"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["a"] - acc["at"]), F.lit(mark)))
+        .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], s["b"]).alias("at")),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return found.withColumn(content, F.when(F.size("findings") > 0, done).otherwise(text)).drop("blob", "findings")
+
+
 def span_digest(found: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per row the base kinds' counts, the hash of their spans and all spans,
     ordered by start, then kind as listed."""

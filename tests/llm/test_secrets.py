@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from riskgrid.llm.secret_ledger import RULES, Rule, scan_versions, span_digest
+from riskgrid.llm.secret_ledger import RULES, Rule, redact, scan_versions, span_digest
 
 
 def brute(text):
@@ -49,3 +49,15 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert added.count() == first + 1 and added.filter("size(rules) > 1").count() == 0
     assert not [f for r in found for f in r.findings if f.rule == "hex@1"]
     assert scan_versions(docs.limit(0), path, ["doc_id"]).count() == 0
+
+
+def test_redaction_replaces_exactly_the_spans(spark, tmp_path):
+    docs = spark.createDataFrame([(i, c, "k") for i, c in enumerate(CASES)], "doc_id bigint, text string, kind string")
+    out = redact(scan_versions(docs, str(tmp_path / "l"), docs.columns))
+    assert out.columns == docs.columns
+    found = {r.doc_id: r.findings for r in scan_versions(docs, str(tmp_path / "l"), ["doc_id"]).collect()}
+    for r in out.collect():
+        text, want, at = CASES[r.doc_id], "", 0
+        for a, b in sorted((f.start, f.end) for f in found[r.doc_id]):
+            want, at = (want + text[at:a] + "[secret]", b) if a >= at else (want, max(at, b))
+        assert r.text == (want + text[at:] if text is not None else None)
