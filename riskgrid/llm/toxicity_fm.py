@@ -7,9 +7,9 @@ insult with the mention of a group, which linear weights add up separately.
 
 Training takes at most ``max_rows`` labelled rows (a documented bound), chosen
 by hash of the id among the rows outside the held-out fold; their hashed terms
-are built in Spark tasks, and a few Adagrad passes fit the machine.  The model
-is a fixed ``2 ** bits`` x (rank + 1) floats, broadcast to the tasks that score
-every whole text.
+are built and screened in Spark, and Adagrad passes over what the screen keeps
+fit the machine.  The model has at most ``2 ** bits`` x (rank + 1) numbers and is
+broadcast to the tasks that score every whole text.
 
 Null text counts as empty and scores sigmoid(w0).  A null id is in no fold and
 not held out.  Conflicting labels of one id count as toxic.  Without labelled
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import cut_lineage, text_or_empty
 
 BITS = 20
 PREFIXES = (4, 5, 6)
@@ -40,19 +40,31 @@ _TERM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 @dataclass
 class Machine:
+    """Weights of the ``slots`` kept by the screen (ascending); all others are 0."""
     w0: float
-    w: np.ndarray  # (slots,)
-    v: np.ndarray  # (slots, rank)
+    slots: np.ndarray
+    w: np.ndarray  # (kept,)
+    v: np.ndarray  # (kept, rank)
 
     def score(self, slots: np.ndarray) -> float:
         z = self.w0
-        if len(slots):
-            vs = self.v[slots]
+        at = _among(slots, self.slots)
+        if len(at):
+            vs = self.v[at]
             s = vs.sum(axis=0)
-            z += float(self.w[slots].sum() + 0.5 * (s @ s - (vs * vs).sum()))
+            z += float(self.w[at].sum() + 0.5 * (s @ s - (vs * vs).sum()))
         return float(1.0 / (1.0 + np.exp(-min(max(z, -40.0), 40.0))))
 
 
+def _among(slots: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Places in ``kept`` of those ``slots`` that are kept; both ascend."""
+    if not len(kept):
+        return np.empty(0, np.int64)
+    at = np.searchsorted(kept, slots)
+    at[at == len(kept)] = 0
+    return at[kept[at] == slots]
+
+
 def slots_of(text: str, bits: int = BITS) -> np.ndarray:
     """Slots of the distinct terms, ascending.  Terms are the words and, for
     inflected and compound forms, their prefixes of a few UTF-8 bytes."""
@@ -68,48 +80,60 @@ def fold(id_col: Column, folds: int = 5) -> Column:
     return F.crc32(id_col.cast("string")) % folds
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic", max_rows: int = MAX_ROWS, bits: int = BITS) -> list[tuple[int, np.ndarray]]:
-    """Up to ``max_rows`` (label, slots), outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+          max_rows: int = MAX_ROWS, bits: int = BITS, least_df: int = 5, least_z: float = 5.0) -> Machine:
+    """The machine fitted on up to ``max_rows`` labelled rows outside the
+    held-out fold.
+
+    A slot in a handful of rows, or about as frequent in both classes, only fits
+    noise: slots are screened by a two-sample z-test on their document
+    frequencies, counted in Spark, and the driver gets each row's kept slots.
+    """
     picked = (labels.filter(F.col(label_col).isNotNull() & (fold(F.col(id_col)) != 0))
               .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
               .orderBy(F.xxhash64("id"), "id").limit(max_rows))  # max_rows bounds the broadcast below
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "slots": [slots_of(t, bits).astype(np.int32) for t in b["text"]]})
+
+    rows = cut_lineage(docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text"))
+                       .join(F.broadcast(picked.withColumn("id", F.col("id").cast("string"))), "id")
+                       .select("id", "y", "text").mapInPandas(hashed, "id string, y int, slots array<int>"))
+    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        share = toxic / n if n else 0.0
+        return Machine(-40.0 if share == 0 else 40.0, np.empty(0, np.int64), np.empty(0), np.empty((0, RANK)))
+    share = F.col("df") / n
+    spread = F.sqrt(share * (1 - share) * (1 / toxic + 1 / (n - toxic)))
+    gap = F.abs(F.col("pos") / toxic - (F.col("df") - F.col("pos")) / (n - toxic))
+    kept = np.array(sorted(r["slot"] for r in rows.select("y", F.explode("slots").alias("slot")).groupBy("slot")
+                           .agg(F.count("*").alias("df"), F.sum("y").alias("pos"))
+                           .filter((F.col("df") >= least_df) & (gap >= least_z * spread)).select("slot").collect()), dtype=np.int64)
+
+    def narrowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "slots": [slots_of(t, bits).astype("<i4").tobytes() for t in b["text"]]})
-
-    rows = (docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text"))
-            .join(F.broadcast(picked.withColumn("id", F.col("id").cast("string"))), "id")
-            .select("id", "y", "text").mapInPandas(run, "id string, y int, slots binary").collect())
-    rows.sort(key=lambda r: (zlib.crc32(r["id"].encode()), r["id"], r["slots"]))
-    return [(int(r["y"]), np.frombuffer(r["slots"], "<i4").astype(np.int64)) for r in rows]
-
-
-def fit(rows: list[tuple[int, np.ndarray]], bits: int = BITS, rank: int = RANK, passes: int = 30, rate: float = 0.5,
-        l2: float = 1e-5, least_df: int = 5, least_z: float = 5.0, batch: int = 64, seed: int = 7) -> Machine:
-    """Adagrad on the logistic loss, mini-batches in a fixed order."""
-    size = 1 << bits
-    toxic = sum(y for y, _ in rows)
-    if not 0 < toxic < len(rows):
-        share = toxic / len(rows) if rows else 0.0
-        return Machine(-40.0 if share == 0 else 40.0, np.zeros(size, np.float32), np.zeros((size, rank), np.float32))
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "at": [_among(np.asarray(s, np.int64), kept).astype(np.int32).tobytes() for s in b["slots"]]})
+
+    data = [(zlib.crc32(r["id"].encode()), r["id"], r["at"], int(r["y"]))
+            for r in rows.mapInPandas(narrowed, "id string, y int, at binary").collect()]
+    data.sort()
+    return fit([(y, np.frombuffer(at, np.int32).astype(np.int64)) for _, _, at, y in data], kept)
+
+
+def fit(rows: list[tuple[int, np.ndarray]], kept: np.ndarray, rank: int = RANK, passes: int = 30, rate: float = 0.5,
+        l2: float = 1e-5, batch: int = 64, seed: int = 7) -> Machine:
+    """Adagrad on the logistic loss over (label, places in ``kept``), in
+    mini-batches of a fixed order.  Both labels must occur."""
+    size, toxic = len(kept), sum(y for y, _ in rows)
     rng = np.random.default_rng(seed)
-    # screen the slots: one in a handful of rows, or as frequent in both classes, only fits noise
-    df = np.bincount(np.concatenate([s for _, s in rows]), minlength=size)
-    pos = np.bincount(np.concatenate([s for y, s in rows if y]), minlength=size)
-    clean = len(rows) - toxic
-    share = df / len(rows)
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / toxic + 1 / clean))
-    keep = (df >= least_df) & (np.abs(pos / toxic - (df - pos) / clean) >= least_z * spread)
-    data = [(y, s[keep[s]]) for y, s in rows]
     w, v = np.zeros(size), rng.normal(0, 0.01, (size, rank))
     w0 = float(np.log(toxic / (len(rows) - toxic)))
     gw, gv, g0 = np.full(size, 1e-6), np.full((size, rank), 1e-6), 1e-6
     for _ in range(passes):
-        order = rng.permutation(len(data))
+        order = rng.permutation(len(rows))
         for lo in range(0, len(order), batch):
-            part = [data[i] for i in order[lo:lo + batch]]
+            part = [rows[i] for i in order[lo:lo + batch]]
             y = np.array([p[0] for p in part], dtype=float)
             lens = np.array([len(p[1]) for p in part])
             slots = np.concatenate([p[1] for p in part])
@@ -131,8 +155,7 @@ def fit(rows: list[tuple[int, np.ndarray]], bits: int = BITS, rank: int = RANK,
             gv[u] += dv * dv
             w[u] -= rate * dw / np.sqrt(gw[u])
             v[u] -= 0.2 * rate * dv / np.sqrt(gv[u])
-    v[~keep] = 0
-    return Machine(w0, w.astype(np.float32), v.astype(np.float32))
+    return Machine(w0, kept, w, v)
 
 
 def score_rows(docs: DataFrame, model: Machine, text_col: str = "text", bits: int = BITS) -> DataFrame:
@@ -151,7 +174,7 @@ def score_rows(docs: DataFrame, model: Machine, text_col: str = "text", bits: in
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
     """(id, held_out, score, predicted) for every row of ``docs``."""
-    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_rows))
+    model = train(docs, labels, id_col, text_col, label_col, max_rows)
     return score_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), model, text_col).select(
         id_col, F.coalesce(fold(F.col(id_col)) == 0, F.lit(False)).alias("held_out"), F.col("__score").alias("score"),
         F.when(F.col("__score") >= 0.5, 1).otherwise(0).alias("predicted"))
@@ -160,5 +183,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                label_col: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of ``docs`` that the machine does not reject."""
-    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_rows))
+    model = train(docs, labels, id_col, text_col, label_col, max_rows)
     return score_rows(docs, model, text_col).filter("__score < 0.5").drop("__score")

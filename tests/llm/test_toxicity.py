@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from conftest import SF001
 from riskgrid.llm.toxicity_fm import drop_toxic, fit, slots_of, toxicity
 
@@ -14,7 +15,8 @@ def test_machine_learns_an_interaction():
         insult, group = rng.random() < 0.5, rng.random() < 0.5
         words += ["insult"] * insult + ["group"] * group
         rows.append((int(insult and group), slots_of(" ".join(words))))
-    m = fit(rows)
+    kept = np.unique(np.concatenate([s for _, s in rows]))
+    m = fit([(y, np.searchsorted(kept, s)) for y, s in rows], kept)
     say = lambda t: m.score(slots_of(t))
     assert say("insult group n1 n2") > 0.5 > max(say("insult n1 n2"), say("group n1 n2"), say(""))
 
