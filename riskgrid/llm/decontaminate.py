@@ -146,11 +146,13 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
            .withColumn("fp", simhash(F.col("sh"))))
     most = RADIUS // BLOCKS
     flips = [sum(1 << i for i in c) for r in range(most + 1) for c in combinations(range(BLOCK_BITS), r)]
-    near = (cut.withColumn("e", F.explode(_index(F.col("fp"), [0])))
-            .join(table.select("item_id", "size", "ish", "ifp", F.explode(_index(F.col("ifp"), flips)).alias("e")), ["size", "e"])
+    # the index holds keys and fingerprints; shingles join the few survivors
+    index = table.select("item_id", "size", "ifp", F.explode(_index(F.col("ifp"), flips)).alias("e"))
+    near = (cut.withColumn("e", F.explode(_index(F.col("fp"), [0]))).join(index, ["size", "e"])
             .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))).cast("int"))
             .filter(F.col("distance") <= RADIUS)
-            .dropDuplicates(["kid", "th", "start", "size", "item_id"])
+            .dropDuplicates(["kid", "th", "start", "size", "item_id", "ifp"])
+            .join(table.select("item_id", "ifp", "ish").distinct(), ["item_id", "ifp"])
             .withColumn("similarity", weighted_similarity(F.col("sh"), F.col("ish")))
             .filter(F.col("similarity") >= least))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), F.col("size").alias("n"), (-F.col("distance")).alias("d")))
