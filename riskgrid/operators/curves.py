@@ -72,7 +72,11 @@ def metrics(scored: DataFrame, prob: str = "prob", label: str = "label",
     """{AUC, PR_AUC (average precision), Brier} in one row per group."""
     a = auc_ap(scored, prob, label, by)
     b = brier(scored, prob, label, by)
-    return a.join(b, list(by)).select(*by, F.col("auc").alias("AUC"),
+    # without groups both sides are one row: key them by a constant
+    on = list(by) or ["_all"]
+    if not by:
+        a, b = a.withColumn("_all", F.lit(1)), b.withColumn("_all", F.lit(1))
+    return a.join(b, on).select(*by, F.col("auc").alias("AUC"),
                                       F.col("average_precision").alias("PR_AUC"),
                                       F.col("brier").alias("Brier"))
 

@@ -46,7 +46,6 @@ def clean_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # boundary sample for the ordered split: the in-season scan, no dedup shuffle
     # the split feeds every later stage (the reference's step-1 hand-over):
     # written once per application and input folder
     return stage_table(spark, "split", sf_dir,
@@ -94,7 +93,6 @@ def pd_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MODEL_PARAMS = dict(max_depth=4, max_iter=20, step_size=0.1, subsample=0.8)
-SHAP_N = 20000
 _MODELS: dict = {}
 
 

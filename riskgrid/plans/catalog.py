@@ -427,7 +427,7 @@ def q_model_metrics(spark, sf):
 
 def _shap(spark, sf):
     m, mf = B.fitted_model(spark, sf)
-    val = sampling.sample_n(mf.filter(F.col("split") == "val"), B.SHAP_N, B.SEED, KEY)
+    val = mf.filter(F.col("split") == "val")
     return M.tree_contributions(val, m, B.KNN_FEATURES, KEY)
 
 

@@ -43,27 +43,25 @@ def _sort_key(df: DataFrame, name: str, asc: bool) -> Column:
     return -c.cast("double")
 
 
-def _lt(keys: list[Column], bound: tuple) -> Column:
-    """Null-safe lexicographic ``keys < bound`` (nulls first)."""
-    expr = F.lit(False)
-    for k, b in reversed(list(zip(keys, bound))):
-        if b is None:
-            lt, eq = F.lit(False), k.isNull()
-        else:
-            lt = k.isNull() | (k < F.lit(b))
-            eq = k.isNotNull() & (k == F.lit(b))
-        expr = lt | (eq & expr)
-    return expr
-
-
-def _bucket_expr(keys: list[Column], bounds: list[tuple]) -> Column:
-    """Index of the first boundary greater than the row: a binary CASE tree."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_lt(keys, bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(bounds))
+def _bucket_expr(df: DataFrame, keys: list[Column], bounds: list[tuple]) -> Column:
+    """How many boundaries are not greater than the row.
+
+    A binary search over one literal array: the generated code has the same
+    size for any number of boundaries.  Structs compare field by field with
+    nulls first, as the windows sort.
+    """
+    key = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+    kind = df.select(F.array(key).alias("b")).schema["b"].dataType
+    table = F.array(*[F.struct(*[F.lit(v) for v in b]) for b in bounds]).cast(kind)
+    span = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        above = (s["lo"] < s["hi"]) & (key < F.get(table, mid))
+        return F.struct(F.when(above | (s["lo"] >= s["hi"]), s["lo"]).otherwise(mid + 1).alias("lo"),
+                        F.when(above, mid).otherwise(s["hi"]).alias("hi"))
+    steps = F.array(*[F.lit(i) for i in range(len(bounds).bit_length())])
+    return F.aggregate(steps, span, halve, lambda s: s["lo"])
 
 
 def bucket_bounds(df: DataFrame, keys: list[Column], sample_id: Column,
@@ -125,7 +123,7 @@ def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],
     win_order = [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_first()
                  for c, a in order]
     base = df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()],
-                     _bucket_expr(keys, bounds).alias("_bkt") if bounds else F.lit(0).alias("_bkt"))
+                     _bucket_expr(df, keys, bounds).alias("_bkt") if bounds else F.lit(0).alias("_bkt"))
     local_w = Window.partitionBy(*within, "_bkt").orderBy(*win_order)
     run_w = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = base.select("*", F.row_number().over(local_w).alias("_l_rn"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskgrid.operators import clean, curves, features, quality, sampling, split
 from riskgrid.schema import (CLS_TARGET, CONTINUOUS_FEATURES, ID_COLS, OUTCOME_COLS, REG_TARGETS,
-                             TIME_COL, final_feature_cols)
+                             TIME_COL, model_inputs)
 from riskgrid.sources import io
 
 
@@ -65,7 +65,7 @@ def run(spark: SparkSession, cfg: RunConfig, stop_after: int = 7) -> dict[str, s
     io.write_report(quality.describe(s2, feats), f"{out}/step4_describe_features")
     if stop_after == 4:
         return arts
-    final = final_feature_cols(s2, feats)
+    final = model_inputs(s2, feats)
     sp = split.time_split(s2, cfg.key, TIME_COL, cfg.test_size, cfg.val_within)
     carry = [cfg.key, TIME_COL, "grid_id"]
     arts.update({f"{k}_sets": v for k, v in split.export_sets(

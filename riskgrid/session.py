@@ -67,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="riskgrid-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(current)
     return spark.sparkContext.getCheckpointDir() or current
