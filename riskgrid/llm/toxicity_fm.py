@@ -12,7 +12,8 @@ fit the machine.  The model has at most ``2 ** bits`` x (rank + 1) numbers and i
 broadcast to the tasks that score every whole text.
 
 Null text counts as empty and scores sigmoid(w0).  A null id is in no fold and
-not held out.  Conflicting labels of one id count as toxic.  Without labelled
+not held out.  Conflicting labels of one id count as toxic; an id with several
+texts trains on the one with the smallest hash.  Without labelled
 rows of both kinds every score is the share of toxic labels (0.0 without any).
 Repeated rows each get their row.  Empty tables give empty results.
 """
@@ -99,6 +100,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     rows = cut_lineage(docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text"))
                        .join(F.broadcast(picked.withColumn("id", F.col("id").cast("string"))), "id")
+                       # one text an id: however often an id repeats, max_rows holds
+                       .groupBy("id").agg(F.max("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
                        .select("id", "y", "text").mapInPandas(hashed, "id string, y int, slots array<int>"))
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < toxic < n:

@@ -55,6 +55,14 @@ def test_labels_of_the_held_out_fold_are_never_read(spark):
     assert score(labels) == score(other)
 
 
+def test_an_id_with_many_rows_trains_once(spark):
+    """Copies of a labelled row neither pass the bound on training rows nor shift the scores."""
+    docs, labels = data(spark, 200)
+    many = docs.unionByName(docs.filter("doc_id = 3").crossJoin(spark.range(300)).select(*docs.columns))
+    score = lambda d: {r.doc_id: r.score for r in toxicity(d, labels).collect()}
+    assert score(docs) == score(many)
+
+
 def test_edges(spark):
     docs, labels = data(spark, 100)
     odd = docs.unionByName(spark.createDataFrame([(None, None, None), (5, "", "x"), (5, "", "x"), (900, "w1 " * 90_000, "y")], docs.schema))
