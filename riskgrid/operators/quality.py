@@ -75,8 +75,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[s
 
     Edges span [min, max] (a constant column gets [v - 0.5, v + 0.5]); the
     maximum falls in the last bin.  ``clip_to`` clips values first (log axes).
-    Two passes: min/max per column, then one grouped count; only non-empty
-    bins are emitted.
+    Two passes: min/max per column, then one grouped count.  Every bin is
+    emitted, empty ones with count 0.
     """
     by = list(by)
     long = to_long(df, cols, by)
@@ -98,11 +98,16 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[s
     lo, hi = F.col("lo"), F.col("hi")
     b = F.least(F.floor((F.col("value") - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1))
     counted = long.join(checked_broadcast(r, None if by else len(cols)), cond, "inner") \
-        .select(*keys, b.alias("bin"), "lo", "hi") \
-        .groupBy(*keys, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+        .select(*[F.col(c).alias(f"_r_{c}") for c in keys], b.alias("_r_bin")) \
+        .groupBy(*[f"_r_{c}" for c in keys], "_r_bin").agg(F.count(F.lit(1)).alias("_n"))
+    grid = rng.select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    for c in [*keys, "bin"]:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if c == keys[0] else cond & e
     w = (F.col("hi") - F.col("lo")) / bins
-    return counted.select(*by, "feature", "bin", (F.col("lo") + w * F.col("bin")).alias("bin_low"),
-                          (F.col("lo") + w * (F.col("bin") + 1)).alias("bin_high"), "count")
+    return grid.join(counted, cond, "left").select(
+        *by, "feature", "bin", (F.col("lo") + w * F.col("bin")).alias("bin_low"),
+        (F.col("lo") + w * (F.col("bin") + 1)).alias("bin_high"), F.coalesce("_n", F.lit(0)).cast("long").alias("count"))
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5,
@@ -178,10 +183,7 @@ def stratified_density(df: DataFrame, cols: Sequence[str], label: str = "label",
         (F.col("neg_count") / (F.max("neg_count").over(g) + F.lit(1e-12))).alias("neg_density"))
 
 
-def profile(df: DataFrame, features: Sequence[str], sample_n: int, seed: int, key: str,
-            bins: int = 50) -> dict[str, DataFrame]:
-    """Missing report + describe + histogram + box stats over a hash sample."""
-    from riskgrid.operators.sampling import sample_n as _sample
-    sample = _sample(df, sample_n, seed, key)
+def profile(df: DataFrame, features: Sequence[str], bins: int = 50) -> dict[str, DataFrame]:
+    """Missing report, describe, histogram and box stats of all rows."""
     return {"missing": missing_report(df), "describe": describe(df, features),
-            "histogram": histogram(sample, features, bins), "box": box_stats(sample, features)}
+            "histogram": histogram(df, features, bins), "box": box_stats(df, features)}

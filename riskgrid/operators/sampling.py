@@ -114,7 +114,7 @@ def knn(points: DataFrame, feats: Sequence[str], key: str, k: int = 5, max_round
     n = int(st["n"])
     span = max(st[f"hi{j}"] - st[f"lo{j}"] for j in range(3)) or 1.0
     w = span * (max(k, 1) / max(n, 1)) ** (1.0 / 3.0)      # expected k-neighbour box at uniform density
-    todo, done = pts, None
+    todo, done, finished = pts, None, False
     for _ in range(max_rounds):
         last = w >= span
         bins_b = [F.floor(F.col(f"_s{j}") / F.lit(w)).cast("long").alias(f"_b{j}") for j in range(3)]
@@ -142,9 +142,12 @@ def knn(points: DataFrame, feats: Sequence[str], key: str, k: int = 5, max_round
         res = cut_lineage(top.join(good, key, "left_semi").select(key, "nn_rank", "nn_key", "dist"))
         done = res if done is None else done.unionByName(res)
         todo = cut_lineage(todo.join(res.select(F.col(key).alias("_key")).distinct(), "_key", "left_anti"))
-        if last or todo.isEmpty():
+        finished = last or todo.isEmpty()
+        if finished:
             break
         w *= 2.0
+    if not finished:
+        raise RuntimeError(f"neighbours of some points are still open after {max_rounds} rounds")
     return done
 
 

@@ -4,12 +4,14 @@ and emptiness (D31), and the small-parameter plumbing they share."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskgrid.functions.exprs import finite
-from riskgrid.plans.ordering import ordered
+from riskgrid.session import checked_broadcast
 
 
 def to_long(df: DataFrame, value_cols: Sequence[str], by: Sequence[str] = (),
@@ -25,14 +27,13 @@ def to_long(df: DataFrame, value_cols: Sequence[str], by: Sequence[str] = (),
 
 def quantiles_long(long: DataFrame, qs: Sequence[float], by: Sequence[str] = (),
                    value_col: str = "value", method: str = "exact",
-                   interpolation: str = "linear", accuracy: int = 10000,
+                   interpolation: str = "linear", accuracy: int = 5000,
                    group_bound: int | None = None) -> DataFrame:
     """Quantiles of ``value_col`` per ``by`` group -> (by..., q_idx, q, quantile).
 
-    ``exact`` first counts each distinct value (map-side partial aggregation
-    absorbs hot values), accumulates the counts in value order with
-    ``ordered`` (bucketed, never one task per group) and keeps only the
-    values covering the needed positions; ``linear`` equals NumPy's default and DuckDB ``quantile_cont``,
+    ``exact`` cuts each group at sketched values around the wanted ranks,
+    counts rows per cut and orders only the cuts that hold a wanted position
+    (``_near_ranks``); ``linear`` equals NumPy's default and DuckDB ``quantile_cont``,
     ``nearest`` takes the value at rank ``round(q (n-1))``.  ``approx`` uses
     ``percentile_approx`` (one pass, bounded memory, not bit-equal).
     """
@@ -48,9 +49,7 @@ def quantiles_long(long: DataFrame, qs: Sequence[float], by: Sequence[str] = (),
         return agg.select(*by, F.posexplode("_qa").alias("q_idx", "quantile")) \
             .withColumn("q", F.element_at(F.array(*[F.lit(q) for q in qs]), F.col("q_idx") + 1))
 
-    counts = long.groupBy(*by, value_col).agg(F.count(F.lit(1)).alias("_c"))
-    cum = ordered(counts, [(value_col, True)], sums={"_cum": F.col("_c")}, within=by,
-                  group_bound=group_bound)
+    cum = _near_ranks(long, qs, by, value_col, accuracy, group_bound)
     first = F.col("_cum") - F.col("_c")          # 0-based first position of the value
     last = F.col("_cum") - 1
     nm1 = (F.col("_cum_total") - 1).cast("double")
@@ -86,6 +85,67 @@ def quantiles_long(long: DataFrame, qs: Sequence[float], by: Sequence[str] = (),
     return wide.select(*by, F.inline(stacked))
 
 
+def _near_ranks(long: DataFrame, qs: Sequence[float], by: list[str], value_col: str,
+                accuracy: int, group_bound: int | None) -> DataFrame:
+    """(by..., value, _c, _cum, _cum_total): the distinct values near the
+    positions of ``qs`` with their count, running count and group size.
+
+    A mergeable sketch (one map-side aggregation) gives values just below and
+    above each wanted rank; they cut a group's value range into intervals,
+    which are counted map-side.  Only rows of intervals that hold a wanted
+    position are shuffled and ordered, some ``4 len(qs) / accuracy`` of all.
+    The sketch steers that share alone: positions come from exact counts.
+    """
+    rows = long.select(*by, value_col).filter(F.col(value_col).isNotNull())
+    off = 2.0 / accuracy
+    marks = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-off, off)})
+    sketch = F.percentile_approx(value_col, F.array(*[F.lit(m) for m in marks]), F.lit(accuracy))
+    cuts = F.array_sort(F.array_distinct(sketch))
+    if by:
+        edges = rows.groupBy(*by).agg(cuts.alias("_edges"))
+        base = _by_group(rows, checked_broadcast(edges, group_bound), by)
+    else:
+        base = rows.withColumn("_edges", rows.agg(cuts).scalar())
+    base = base.select(*by, value_col, _edges_not_above(F.col(value_col), F.col("_edges"), len(marks)).alias("_cut"))
+    counted = base.groupBy(*by, "_cut").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.select(*by, "_cut", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_below"),
+                            F.sum("_n").over(Window.partitionBy(*by)).alias("_cum_total"))
+    nm1 = (F.col("_cum_total") - 1).cast("double")
+    held = F.lit(False)
+    for q in qs:
+        # floor, ceil and round of the position
+        held = held | ((F.col("_below") <= F.ceil(F.lit(q) * nm1)) & (F.floor(F.lit(q) * nm1) < F.col("_below") + F.col("_n")))
+    need = placed.filter(held).drop("_n")
+    near = _by_group(base, checked_broadcast(need, None if group_bound is None and by else (group_bound or 1) * (len(marks) + 1)),
+                     [*by, "_cut"])
+    values = near.groupBy(*by, "_cut", "_below", "_cum_total", value_col).agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*by, "_cut").orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return values.select(*by, value_col, "_c", (F.col("_below") + F.sum("_c").over(upto)).alias("_cum"), "_cum_total")
+
+
+def _by_group(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the other columns of ``small``, joined null-safely on ``keys``."""
+    named = small.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    return rows.join(named, cond).drop(*[f"_g_{k}" for k in keys])
+
+
+def _edges_not_above(value: Column, edges: Column, most: int) -> Column:
+    """How many of the ascending ``edges`` (``most`` at most) are <= ``value``,
+    by halving."""
+    if most <= 8:
+        return F.size(F.filter(edges, lambda e: e <= value))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        up = (s["lo"] < s["hi"]) & (F.get(edges, mid) <= value)
+        return F.struct(F.when(up, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(up | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+    steps = F.array(*[F.lit(i) for i in range(most.bit_length())])
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi")), halve, lambda s: s["lo"])
+
+
 def quantiles(df: DataFrame, value_cols: Sequence[str], qs: Sequence[float],
               by: Sequence[str] = (), **kw) -> DataFrame:
     """Quantiles of several columns -> (by..., feature, q_idx, q, quantile)."""

@@ -218,10 +218,12 @@ rng AS (
 b AS (
   SELECT {lby}l.feature, r.lo, r.hi,
          least(CAST(floor((l.value - r.lo) / (r.hi - r.lo) * 50) AS INTEGER), 49) AS bin
-  FROM long l JOIN rng r ON l.feature = r.feature {on})
+  FROM long l JOIN rng r ON l.feature = r.feature {on}),
+grid AS (SELECT {by}feature, lo, hi, CAST(unnest(range(50)) AS INTEGER) AS bin, 0 AS n FROM rng),
+every AS (SELECT {by}feature, lo, hi, bin, 1 AS n FROM b UNION ALL SELECT * FROM grid)
 SELECT {by}feature, bin, round(lo + (hi - lo) / 50 * bin, 6) AS bin_low,
-       round(lo + (hi - lo) / 50 * (bin + 1), 6) AS bin_high, count(*) AS count
-FROM b GROUP BY {by}feature, bin, lo, hi"""
+       round(lo + (hi - lo) / 50 * (bin + 1), 6) AS bin_high, CAST(sum(n) AS BIGINT) AS count
+FROM every GROUP BY {by}feature, bin, lo, hi"""
 
 SQL["feature_histogram"] = f"""WITH {CLEAN},
 long AS (SELECT * FROM ({_long("clean")}) WHERE value IS NOT NULL AND NOT isnan(value)),

@@ -53,8 +53,30 @@ def test_constant_feature_scalers_and_histogram(spark):
     assert mm.min() == 0.0 and mm.max() == 1.0
     h = quality.histogram(df, ["c"], 50).toPandas()
     # NumPy: range [v - 0.5, v + 0.5], the value falls in bin 25 of 50
-    assert len(h) == 1 and h.loc[0, "bin"] == 25 and h.loc[0, "bin_low"] == pytest.approx(4.0)
-    assert h.loc[0, "count"] == 10
+    assert sorted(h["bin"]) == list(range(50)) and h["count"].sum() == 10
+    full = h[h["count"] > 0].iloc[0]
+    assert full["bin"] == 25 and full["bin_low"] == pytest.approx(4.0) and full["count"] == 10
+
+
+def test_quantiles_of_ties_nulls_and_groups_against_numpy(spark):
+    """A hot value, few distinct values, one-row and null groups, nulls; a coarse
+    sketch must not change the result."""
+    import numpy as np
+    from riskgrid.operators.stats import quantiles_long
+    rng = np.random.default_rng(3)
+    rows = [("hot", 7.0)] * 400 + [("hot", float(x)) for x in rng.normal(7, 3, 600).round(2)]
+    rows += [(None, float(x)) for x in rng.integers(0, 4, 300)] + [("one", 5.0), ("hot", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, value double").repartition(7)
+    qs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0]
+    for accuracy in (5000, 10):
+        got = {(r.g, r.q_idx): r.quantile for r in quantiles_long(df, qs, ["g"], accuracy=accuracy).collect()}
+        want = {(g, i): np.quantile([v for k, v in rows if k == g and v is not None], q)
+                for g in ("hot", None, "one") for i, q in enumerate(qs)}
+        assert got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+        plain = {r.q_idx: r.quantile for r in quantiles_long(df.select("value"), qs, accuracy=accuracy).collect()}
+        every = [v for _, v in rows if v is not None]
+        assert all(plain[i] == pytest.approx(np.quantile(every, q), abs=1e-9) for i, q in enumerate(qs))
 
 
 def _tied(spark):
