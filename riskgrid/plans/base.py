@@ -62,12 +62,12 @@ def scored_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split rows with imputed, min-max scaled features and month dummies
-    (fitted on all rows before the split, as the reference does)."""
+    """Split rows with imputed, min-max scaled features, month dummies and the
+    score of the raw features (fitted on all rows before the split, as the reference does)."""
     from riskgrid.operators.features import prepare
     from riskgrid.sources.fixtures import FEATURES
     return stage_table(spark, "prepared", sf_dir,
-                       lambda: prepare(split_obs(spark, sf_dir), FEATURES, KEEP_MONTHS, "minmax"))
+                       lambda: prepare(scored(spark, sf_dir), FEATURES, KEEP_MONTHS, "minmax"))
 
 
 KNN_FEATURES = ["f_qty", "f_price", "f_disc", "f_tax", "mon_05", "mon_06", "mon_07", "mon_08"]
@@ -100,10 +100,9 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared split rows with the planted label: 1 when the md5 hash
     uniform of the key falls below the closed-form score (a learnable signal)."""
     from riskgrid.functions.exprs import hash_uniform
-    p = prepared_split(spark, sf_dir)
-    raw = scored(spark, sf_dir).select(KEY, "prob")
     planted = (hash_uniform(F.col(KEY)) < F.col("prob")).cast("int")
-    return p.drop("label").join(raw, KEY).withColumn("label", planted).drop("prob")
+    # the raw score rides along through the preparation
+    return prepared_split(spark, sf_dir).withColumn("label", planted).drop("prob")
 
 
 def fitted_model(spark: SparkSession, sf_dir: str):

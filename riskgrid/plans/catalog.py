@@ -234,8 +234,7 @@ def q_ecdf_at(spark, sf):
     long = stats.to_long(df, FEATURES, finite_only=False)
     means = long.groupBy("feature").agg(F.avg("value").alias("mean"))
     j = long.join(checked_broadcast(means, len(FEATURES)), "feature")
-    return r6(j.groupBy("feature").agg(
-        F.avg(F.when(F.col("value") <= F.col("mean"), 1.0).otherwise(0.0)).alias("ecdf")))
+    return r6(stats.ecdf_at(j, "value", F.col("mean"), by=["feature"]))
 
 
 # ---------------------------------------------------------------- curves
@@ -441,6 +440,31 @@ def q_shap_importance(spark, sf):
     return r6(explain.mean_abs(_shap(spark, sf).filter(F.col("feature") != "__base__")))
 
 
+def _explained(spark, sf):
+    """The fitted model as a scorer and the validation rows it explains."""
+    from riskgrid.functions.scorer import ModelScorer
+    m, mf = B.fitted_model(spark, sf)
+    return mf.filter(F.col("split") == "val"), ModelScorer(m, B.KNN_FEATURES)
+
+
+@register("pd_1d_model")
+def q_pd_1d_model(spark, sf):
+    val, scorer = _explained(spark, sf)
+    return r6(explain.pd_1d(val, FEATURES, scorer, n=B.PD_GRID))
+
+
+@register("pd_2d_model")
+def q_pd_2d_model(spark, sf):
+    val, scorer = _explained(spark, sf)
+    return r6(explain.pd_2d(val, explain.pairs(FEATURES), scorer, n=B.PD_GRID))
+
+
+@register("permutation_model")
+def q_permutation_model(spark, sf):
+    val, scorer = _explained(spark, sf)
+    return r6(explain.permutation_importance(val, FEATURES, scorer, KEY, repeats=B.PERM_REPEATS, seed=B.SEED))
+
+
 @register("grid_select")
 def q_grid_select(spark, sf):
     _, mf = B.fitted_model(spark, sf)
