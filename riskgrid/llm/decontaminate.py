@@ -1,13 +1,13 @@
 """Benchmark decontamination by SimHash of item-sized windows (operator 4).
 
-1. Screen: a window with weighted-shingle similarity ``least`` to an item holds
-   at least that share of the item's shingles.  One pass matches every text
-   shingle against the items' shingles (broadcast after a count, else a
-   shuffled join) and keeps, per text and item, the starts the shared shingles
-   vote for, if enough of the item's shingles occur in the text.  Windows the
-   screen leaves out cannot reach ``least``.
-2. Windows: at every voted start and one word beside it, the window of the
-   item's size, with the SimHash of its shingles.
+1. Screen: a window with weighted-shingle similarity ``least`` to an item shares
+   at least that share of the item's shingles with it.  One pass matches every
+   text shingle against the items' shingles (broadcast after a count, else a
+   shuffled join); texts in which fewer of an item's shingles occur are left out.
+2. Windows: in those texts, every window of the item's size, at whatever start,
+   that holds so many shared shingles, with the SimHash of its shingles.  The
+   order of the shared shingles plays no part, as it plays none in the
+   similarity, so no window that can reach ``least`` is left out.
 3. Multi-index Hamming blocks: 64 bits in 8 blocks; fingerprints within 23 bits
    agree in some block up to 2 flips.  Items are indexed under every key within
    2 flips of each block, so windows of the item's size look up 8 exact keys
@@ -37,6 +37,7 @@ from .common import alnum_words, cut_lineage, text_or_empty
 
 BLOCKS, BLOCK_BITS, RADIUS = 8, 8, 23
 BROADCAST_SHINGLES = 500_000
+SLICE = 32  # window starts a row holds at once
 
 
 def _shingle_hashes(word_hashes: Column, k: int) -> Column:
@@ -86,6 +87,19 @@ def _index(fp: Column, flips: list[int]) -> Column:
     return F.flatten(F.array(*[block(i, key) for i, key in enumerate(_block_keys(fp))]))
 
 
+def _starts(spots: Column, length: Column, enough: Column, last: Column) -> Column:
+    """Every start up to ``last``, once, from which ``length`` places hold
+    ``enough`` of the ascending ``spots``."""
+    def run(p: Column, i: Column) -> Column:  # holds p[i] .. p[i + enough - 1], and not p[i - 1]
+        lo = F.greatest(F.lit(0), F.get(p, i + enough - 1) - length + 1, F.coalesce(F.get(p, i - 1), F.lit(-1)) + 1)
+        hi = F.least(F.get(p, i), last)
+        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    # binding the spots to a lambda variable computes them once a row
+    return F.transform(F.array(spots), lambda p: F.flatten(F.transform(
+        F.when(F.size(p) >= enough, F.sequence(F.lit(0), F.size(p) - enough)).otherwise(F.array().cast("array<int>")),
+        lambda i: run(p, i))))[0]
+
+
 def _key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("string"), F.lit("\u0000"))
 
@@ -126,23 +140,27 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     for k in sizes:
         g = rows.select("kid", "th", "n", F.lit(k).alias("k"), F.posexplode(_shingle_hashes(F.col("wh"), k)).alias("pos", "h"))
         grams = g if grams is None else grams.unionByName(g)
-    votes = (grams.join(probes, ["k", "h"])
-             .groupBy("kid", "th", "item_id", "size", "k", "n")
-             .agg(F.collect_set("tpos").alias("at"), F.collect_set(F.col("pos") - F.col("tpos")).alias("starts"))
-             .filter(F.size("at") >= F.lit(least) * (F.col("size") - F.col("k") + 1)))
-    last = F.greatest(F.col("n") - F.col("size"), F.lit(0))
-    spots = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.transform(
-        F.array(s - 1, s, s + 1), lambda x: F.greatest(F.lit(0), F.least(x, last))))))
-    windows = cut_lineage(votes.select("kid", "th", F.explode(F.transform(spots, lambda s: F.struct(
-        F.col("size").alias("size"), s.alias("start")))).alias("win"))
-        .groupBy("kid", "th").agg(F.collect_set("win").alias("wins")))
+    # what any window that reaches ``least`` has in common with the item, at least
+    enough = F.ceil(F.lit(least) * (F.col("size") - F.col("k") + 1)).cast("int")
+    hits = (grams.join(probes, ["k", "h"])
+            .groupBy("kid", "th", "item_id", "size", "k", "n")
+            .agg(F.size(F.collect_set("tpos")).alias("at"), F.sort_array(F.collect_set("pos")).alias("spots"))
+            .withColumn("enough", enough).filter(F.col("at") >= F.col("enough")))
+    # rows of at most SLICE starts; each start of a (text, size) once, however many items it may hold
+    windows = cut_lineage(hits.select("kid", "th", "size", F.explode(_starts(
+        F.col("spots"), F.col("size") - F.col("k") + 1, F.col("enough"), F.greatest(F.col("n") - F.col("size"), F.lit(0)))).alias("start"))
+        .groupBy("kid", "th", "size", F.floor(F.col("start") / SLICE).cast("int").alias("part")).agg(F.collect_set("start").alias("starts"))
+        .groupBy("kid", "th").agg(F.collect_list(F.struct("size", "part", "starts")).alias("wins")))
 
     cut = (docs.select(_key(id_col).alias("kid"), F.col(id_col).alias("id"), text.alias("t"), F.xxhash64(text).alias("th"))
            .join(windows, ["kid", "th"])
            .select("kid", "th", "id", "wins", alnum_words(F.col("t")).alias("w"))
            .select("kid", "th", "id", F.explode(F.transform("wins", lambda x: F.struct(
-               x["size"].alias("size"), x["start"].alias("start"), F.slice("w", x["start"] + 1, x["size"]).alias("w")))).alias("x"))
-           .select("kid", "th", "id", "x.size", "x.start", _shingles(F.col("x.w"), shingle).alias("sh"))
+               x["size"].alias("size"), x["part"].alias("part"), x["starts"].alias("starts"),
+               F.slice("w", x["part"] * SLICE + 1, x["size"] + SLICE - 1).alias("w")))).alias("x"))
+           .select("kid", "th", "id", "x.size", "x.part", "x.w", F.explode("x.starts").alias("start"))
+           .select("kid", "th", "id", "size", "start",
+                   _shingles(F.slice("w", F.col("start") - F.col("part") * SLICE + 1, F.col("size")), shingle).alias("sh"))
            .withColumn("fp", simhash(F.col("sh"))))
     most = RADIUS // BLOCKS
     flips = [sum(1 << i for i in c) for r in range(most + 1) for c in combinations(range(BLOCK_BITS), r)]

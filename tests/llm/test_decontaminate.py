@@ -55,6 +55,23 @@ def test_pairs_against_brute_force(spark):
     assert leaked_passages(df, items.limit(0)).count() == 0
 
 
+def test_passages_out_of_order_against_brute_force(spark):
+    """Shared shingles far from their place in the item still make up a window."""
+    w = [f"m{i}" for i in range(59)]
+    items = [(1, " ".join(w)), (2, " ".join(f"m{i}" for i in range(2, 61))), (3, " ".join(["a", "b", "c", "d"] * 10)), (4, " ".join(f"s{i}" for i in range(8)))]
+    front, back = [f"f{i}" for i in range(70)], [f"g{i}" for i in range(45)]
+    docs = [(1, front + w[29:] + w[:29] + back), (2, w[29:] + w[:29]), (3, front + w[12:] + w[:12] + back), (4, front + w[47:] + w[:47]),
+            (5, w[40:] + w[20:40] + w[:20] + back), (6, front + w[:29] + back + w[29:]), (7, front + w[2:] + ["m59", "m60"] + back + w),
+            (8, ["a", "b", "c", "d"] * 30), (9, ["c", "d", "a", "b"] * 9 + back), (10, front + [f"s{i}" for i in range(8)]), (11, w[5:])]
+    docs = [(d, " ".join(t)) for d, t in docs]
+    want = brute(docs, items)
+    assert {(1, 1), (2, 1), (3, 1), (4, 1)} <= set(want) and (6, 1) not in want
+    got = {(r["id"], r["item_id"]): r for r in leaked_passages(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                                               spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert set(got) == set(want)
+    assert all(abs(got[k]["similarity"] - want[k]) < 1e-12 for k in want)
+
+
 def test_given_tables_against_brute_force(spark):
     docs, items = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "benchmark"))
     want = brute([(r.doc_id, r.text) for r in docs.collect() if len(r.text) < 1200], [(r.item_id, r.text) for r in items.limit(40).collect()])
