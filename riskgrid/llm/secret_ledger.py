@@ -60,8 +60,15 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", ("akia",), 0, 20),
     Rule("hex", 1, r"[0-9a-f]{24,}"),
 )
+# a private key runs to its END line; where that is lost, through its header lines and base64 lines, which may stand in
+# quotes, behind comment signs or in one line with \n written out.  Gaps are possessive, so no text is read twice.
+_GAP = r"""(?:[\s"'`,;>#*|+]|\\[nrt])++"""
+_PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
+        r"(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        rf"|(?:{_GAP}[A-Za-z][A-Za-z-]{{0,40}}:[^\n\\]{{0,200}}){{0,8}}(?:{_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}})+"
+        r"""(?:["'+\x20\t]*(?:\r?\n|\\n)[\x20\t"'>#*|]*[A-Za-z0-9+/]++={0,2}(?![^\s"'`,;\\]))?)?""")
 MORE_RULES = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", ("-----begin",)),
+    Rule("pem", 2, _PEM, ("-----begin",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",)),
 )

@@ -61,3 +61,21 @@ def test_redaction_replaces_exactly_the_spans(spark, tmp_path):
         for a, b in sorted((f.start, f.end) for f in found[r.doc_id]):
             want, at = (want + text[at:a] + "[secret]", b) if a >= at else (want, max(at, b))
         assert r.text == (want + text[at:] if text is not None else None)
+
+
+def test_no_part_of_a_private_key_remains(spark, tmp_path):
+    lines = [("MIIEpAIBAAKCAQEA/+" + "Zz9xK4" * 8)[:64] for _ in range(5)] + ["Qm9keQ=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    info = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF00FF00FF00FF\n\n"
+    body = "\n".join(lines)
+    cases = [(f"a {begin}\n{body}\n{end} z", "a [secret] z"), (f"a {begin}\n{info}{body}\n{end}\nz", "a [secret]\nz"),
+             (f"a {begin}\r\n" + "\r\n".join(lines) + f"\r\n{end}", "a [secret]"), (f'k = "{begin}\\n' + "\\n".join(lines) + f'\\n{end}\\n"', 'k = "[secret]\\n"'),
+             (f"a {begin}\n{body}\nThe end of it", "a [secret]\nThe end of it"), (f"a {begin}\n{info}{body}", "a [secret]"),
+             ("\n".join(["# " + x for x in [begin, *lines]]) + "\n# more words", "# [secret]\n# more words"),
+             (f"{begin}\n{body}\n\n{begin}\n{body}\n{end}", "[secret]\n\n[secret]"), (f"{begin} is how a key begins", "[secret] is how a key begins"),
+             (f"{begin}\n{lines[0]}\n{lines[1][:30]}", "[secret]"), (begin.replace("RSA ", "") + f"\n{body}\n" + end.replace("RSA ", ""), "[secret]"),
+             (f"{begin}\n" + "words and more\n" * 20_000, "[secret]\n" + "words and more\n" * 20_000),
+             ((begin + "\n") * 3_000, "[secret]\n" * 3_000)]
+    docs = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in redact(scan_versions(docs, str(tmp_path / "l"), docs.columns)).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
