@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 from conftest import SF001
-from riskgrid.llm.toxicity_fm import drop_toxic, fit, slots_of, toxicity
+from riskgrid.llm.toxicity_fm import drop_toxic, fit, slots_of, toxicity, train
 
 
 def test_machine_learns_an_interaction():
@@ -21,6 +21,12 @@ def test_machine_learns_an_interaction():
     assert say("insult group n1 n2") > 0.5 > max(say("insult n1 n2"), say("group n1 n2"), say(""))
 
 
+def test_rows_without_a_slot():
+    none, one = np.empty(0, np.int32), np.array([0], np.int32)
+    m = fit([(0, none)] * 640 + [(1, one)] * 64, np.array([3]))
+    assert m.score(np.array([3])) > 0.5 > m.score(np.array([4]))
+
+
 def data(spark, n=600):
     rng = random.Random(2)
     docs, labels = [], []
@@ -63,6 +69,30 @@ def test_an_id_with_many_rows_trains_once(spark):
     assert score(docs) == score(many)
 
 
+def test_a_pair_of_balanced_terms_is_learned(spark):
+    """Each of four terms is as frequent in both classes; only the pairs tell."""
+    rng, docs, labels = random.Random(9), [], []
+    for i in range(3000):
+        one, two = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"n{rng.randrange(400)}" for _ in range(30)] + ["insult" if one else "praise", "people" if two else "weather"]
+        rng.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(one == two)))
+    docs, labels = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    m = train(docs, labels)
+    say = lambda t: m.score(slots_of(t)) >= 0.5
+    assert say("n1 insult people n2") and say("praise n7 weather") and not say("insult n3 weather") and not say("n5 praise people")
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    held = [r for r in toxicity(docs, labels).collect() if r.held_out]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_a_few_rows_train(spark):
+    docs = spark.createDataFrame([(i, "vile words" if i % 2 else "kind words") for i in range(24)], "doc_id bigint, text string")
+    m = train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"))
+    assert m.score(slots_of("vile words")) > 0.5 > m.score(slots_of("kind words"))
+
+
 def test_edges(spark):
     docs, labels = data(spark, 100)
     odd = docs.unionByName(spark.createDataFrame([(None, None, None), (5, "", "x"), (5, "", "x"), (900, "w1 " * 90_000, "y")], docs.schema))
