@@ -10,8 +10,9 @@ Classes that occur on at least half of the host's pages are valid and form the
 template: ordered by mean position, a class nests in the gap of an outer class
 that holds all its tokens.  The main slot is the template's article or main
 element, else the innermost container, outside menus and the like, with most of
-the text that varies.  Text pieces that belong to a valid class outside the
-article are boilerplate.  Every page then gives the blocks of its main slot.
+the text that varies.  Every page then gives all blocks of its main slot.  In a page
+without that slot, text pieces outside an article that occur on at least half of
+the host's pages are boilerplate.
 
 A host with fewer than ``least_pages`` pages has no vectors to compare; its
 pages, and pages without their host's main slot, use their own article or main
@@ -194,8 +195,9 @@ def main_text(page: str, main: list[str], stale: set[str]) -> str:
     kept = [(p, t) for p, out, t in blocks if not out]
     under = lambda tops: [(p, t) for p, t in kept if any(p == m or p.startswith(m + "/") for m in tops)]
     body = under(main) if main else []
-    if not body:
-        body = [(p, t) for p, t in kept if _in_article(p)] or kept
+    if body:  # the main slot's text stays, however often it comes again
+        return "\n\n".join(t for _, t in body)
+    body = [(p, t) for p, t in kept if _in_article(p)] or kept
     return "\n\n".join(t for p, t in body if _in_article(p) or not ((t if len(t) <= 200 else str(_h64(t))) in stale))
 
 

@@ -45,3 +45,13 @@ def test_parts_that_are_never_text():
     page = ("<title>t</title><!-- c --><header>h</header><article><header><h1>Head</h1></header><p>a <i>b</i> c<br>d</p><aside>no</aside>"
             "<div class='share-box'>no</div><form>no</form><style>p{}</style><ul><li>x<li>y</ul></article><footer>f</footer>")
     assert main_text(page, [], set()) == "Head\n\na b c d\n\nx\n\ny"
+
+
+def test_repeated_text_in_the_main_slot_stays(spark):
+    """Copies of one page make up most of a host without article elements."""
+    copy = wrap("".join(f"<p>the same long story part {j}</p>" for j in range(4)))
+    pages = [(i, f"http://c.org/{i}", copy) for i in range(6)]
+    pages += [(10 + i, f"http://c.org/o{i}", wrap("".join(f"<p>tale {i} has its own part {j}</p>" for j in range(4)))) for i in range(3)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i] == "\n\n".join(f"the same long story part {j}" for j in range(4)) for i in range(6))
+    assert got[11] == "\n\n".join(f"tale 1 has its own part {j}" for j in range(4))
