@@ -46,30 +46,32 @@ from .common import cut_lineage, text_or_empty
 CONTAINERS = frozenset("html head body div section article main nav header footer aside form table ul ol dl menu dialog".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr blockquote pre figure figcaption hr address caption".split())
 SPACES = frozenset("br td th wbr img".split())
+# names that containers of the whole content also have
+WRAPPERS = frozenset("banner header notice share sharing sidebar social widget".split())
 # parts that are never article text
 PARTS = frozenset("head nav aside footer form menu dialog".split())
 _RAW = "script|style|noscript|template|svg|iframe|select|textarea|button|object"
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|menu|nav\w*|newsletter|"
-                    r"notice|popup|promo\w*|related|repl(?:y|ies)|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?:$|[\s_-])", re.I)
+_ASIDE = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|menu|nav\w*|newsletter|"
+                    r"notice|popup|promo\w*|related|repl(?:y|ies)|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?=$|[\s_-])", re.I)
 
 
-def read_page(page: str) -> tuple[Counter, dict[str, int], list[tuple[str, bool, str]]]:
+def read_page(page: str) -> tuple[Counter, dict[str, int], list[tuple[str, int, str]]]:
     """(tokens, first place of each, blocks); a block is (path, left out, text)."""
     tokens: Counter = Counter()
     first: dict[str, int] = {}
-    blocks: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, left out
+    blocks: list[tuple[str, int, str]] = []
+    stack: list[tuple[str, str, int]] = []  # tag, path, left out (1: by a name that wrappers also have, or a form; 2: for good)
     piece: list[str] = []
-    path, out, skip = "", False, False
+    path, out, skip = "", 0, False
 
     def flush() -> None:
         nonlocal skip
         if piece:
             text = " ".join("".join(piece).split())
             if text:
-                blocks.append((path, out or skip, text))
+                blocks.append((path, max(out, 2 * skip), text))
             piece.clear()
         skip = False
 
@@ -95,14 +97,21 @@ def read_page(page: str) -> tuple[Counter, dict[str, int], list[tuple[str, bool,
                     tokens[role] += 1
                     first.setdefault(role, place)
                     del stack[depth:]
-                    path, out = (stack[-1][1], stack[-1][2]) if stack else ("", False)
+                    path, out = (stack[-1][1], stack[-1][2]) if stack else ("", 0)
                 continue
             name = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)) if attrs else ""
             inside = any(t in ("article", "main") for t, _, _ in stack)
-            aside = (tag in PARTS or (tag == "header" and not inside)
-                     or (name != "" and tag not in ("html", "body", "article", "main") and _ASIDE.search(name) is not None))
+            named = _ASIDE.findall(name) if name and tag not in ("html", "body", "article", "main") else []
+            if inside:  # an article's own header, titled or not, is text
+                named = [x for x in named if x.lower() != "header"]
+            if tag in PARTS and tag != "form" or (tag == "header" and not inside) or any(x.lower() not in WRAPPERS for x in named):
+                aside = 2
+            else:
+                aside = int(tag == "form" or bool(named))
             path = f"{path}/{tag}" + (f".{name}" if name else "")
-            out = out or aside
+            if tag in ("article", "main") and not inside and out == 1:
+                out = 0  # a wrapper's name does not decide over the article in it
+            out = max(out, aside)
             stack.append((tag, path, out))
             role = "<" + path
         else:
@@ -192,7 +201,7 @@ def host_templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3) -
 
 def main_text(page: str, main: list[str], stale: set[str]) -> str:
     _, _, blocks = read_page(page)
-    kept = [(p, t) for p, out, t in blocks if not out]
+    kept = [(p, t) for p, out, t in blocks if not out] or [(p, t) for p, out, t in blocks if out == 1]
     under = lambda tops: [(p, t) for p, t in kept if any(p == m or p.startswith(m + "/") for m in tops)]
     body = under(main) if main else []
     if body:  # the main slot's text stays, however often it comes again

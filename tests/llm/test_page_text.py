@@ -55,3 +55,11 @@ def test_repeated_text_in_the_main_slot_stays(spark):
     got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
     assert all(got[i] == "\n\n".join(f"the same long story part {j}" for j in range(4)) for i in range(6))
     assert got[11] == "\n\n".join(f"tale 1 has its own part {j}" for j in range(4))
+
+
+def test_wrapped_articles_and_titled_headers():
+    for name in ("content-sidebar-wrap", "layout has-sidebar", "elementor-widget", "site header"):
+        assert main_text(f"<body><nav>menu</nav><div class='{name}'><article><p>text</p><div class='comments'>no</div></article></div></body>", [], set()) == "text"
+        assert main_text(f"<body><nav>menu</nav><div class='{name}'><p>text</p></div></body>", [], set()) == "text"
+    assert main_text("<article><div class='post-header'><h1>Title</h1></div><p>text</p><div class='share-box'>no</div></article>", [], set()) == "Title\n\ntext"
+    assert main_text("<form><main><p>text</p></main></form><aside><article>other</article></aside>", [], set()) == "text"
