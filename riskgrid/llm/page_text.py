@@ -50,8 +50,10 @@ SPACES = frozenset("br td th wbr img".split())
 WRAPPERS = frozenset("banner header notice share sharing sidebar social widget".split())
 # parts that are never article text
 PARTS = frozenset("head nav aside footer form menu dialog".split())
-_RAW = "script|style|noscript|template|svg|iframe|select|textarea|button|object"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
+# an unclosed one of the first hides the rest of the page, as in a browser; of the second, only itself
+_TO_END, _ALONE = "script|style|noscript|template|svg|iframe|textarea", "select|button|object"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?=({_TO_END}|{_ALONE})\b)(?:[^>]*/>|(?:{_ALONE})\b[^>]*>(?:(?!<\1\b).)*?</\1\s*>|"
+                    rf"(?:{_TO_END})\b[^>]*>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ASIDE = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|menu|nav\w*|newsletter|"
                     r"notice|popup|promo\w*|related|repl(?:y|ies)|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?=$|[\s_-])", re.I)

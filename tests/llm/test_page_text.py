@@ -63,3 +63,9 @@ def test_wrapped_articles_and_titled_headers():
         assert main_text(f"<body><nav>menu</nav><div class='{name}'><p>text</p></div></body>", [], set()) == "text"
     assert main_text("<article><div class='post-header'><h1>Title</h1></div><p>text</p><div class='share-box'>no</div></article>", [], set()) == "Title\n\ntext"
     assert main_text("<form><main><p>text</p></main></form><aside><article>other</article></aside>", [], set()) == "text"
+
+
+def test_empty_and_unclosed_raw_elements():
+    assert main_text("<article><p>a <svg class='i' width=1 /> b</p><p>c<svg><path d=1 /></svg> d</p></article>", [], set()) == "a b\n\nc d"
+    for tag in ("button", "object", "select"):
+        assert main_text(f"<article><p>a <{tag} id=x> b</p><p>c <{tag}>no</{tag}> d</p></article>", [], set()) == "a b\n\nc d"
