@@ -179,7 +179,7 @@ def _valid_classes(tokens: pd.DataFrame) -> list[list[tuple[float, str, float]]]
 def _template(tokens: pd.DataFrame) -> pd.DataFrame:
     """The main paths and boilerplate text of one host, from its frequent tokens."""
     slots = {token[1:]: size for c in _valid_classes(tokens) for _, token, size in c
-             if token.startswith("<") and not token.startswith("</") and ">" not in token}
+             if token.startswith("</") and not token.startswith("<//") and ">" not in token}  # paths begin with a slash
     main = [p for p in slots if p.rsplit("/", 1)[-1].split(".")[0] in ("article", "main")]
     if not main:
         held = {p: sum(s for q, s in slots.items() if q == p or q.startswith(p + "/")) for p in slots}
