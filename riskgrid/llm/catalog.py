@@ -9,12 +9,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, license_scan, mixing, page_text, quality_divergence, secret_ledger, simhash_dedup, token_counts,
-               toxicity_fm, url_rules)
+from . import (decontaminate, lexical_search, license_scan, line_dedup, mixing, page_text, quality_divergence, secret_ledger,
+               simhash_dedup, source_divergence, token_counts, toxicity_fm, url_rules)
 from .common import ensure_checkpoint_dir, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {"op7_url_rules": url_rules.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op7_url_rules": url_rules.ORACLE, "op11_line_runs": line_dedup.ORACLE,
+                              "op12_lexical_search": lexical_search.ORACLE, "op13_source_divergence": source_divergence.ORACLE}
 
 
 def _query(f):
@@ -84,3 +85,19 @@ def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), new_folder(spark, "lines"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(read_table(spark, sf_dir, "documents"))
