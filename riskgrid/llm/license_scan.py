@@ -1,20 +1,23 @@
 """License scans by diagonal voting (operator 3).
 
-Texts and templates become rolling word 2-grams.  One Spark join matches every
-text gram with every template position of the same hash; a match votes for the
-diagonal text position - template position.  Votes are summed by (row,
-template, diagonal); neighbouring diagonals merge, which bridges inserted or
-missing words; a merged span counts when enough of the template's positions
-voted inside a span of about the template's length.  Hash matches are verified
-word by word before they vote.
+Texts and templates become rolling word 2-grams, hashed from word hashes.  One
+Spark join matches every text gram, a position and a hash, with every template
+position of the same hash; a match votes for the diagonal text position - template
+position.  Votes are summed by (row, template, diagonal); neighbouring diagonals
+merge, which bridges inserted or missing words; a merged span counts when enough
+of the template's positions voted inside a span of about the template's length.
+
+Words are compared where they are, as the grams are made: a gram that has the hash
+of a template's gram but other words gets another hash, so a vote means equal words
+and a span's votes are verified words.
 
 A phrase template (``exact``) accepts only full votes on a single diagonal,
 which is the phrase standing there word by word.
 
 The template side is a parameter; its rows are counted before it is broadcast,
-and past ``BROADCAST_GRAMS`` the join is left to the planner.  Every text
-carries one extra gram that no text can hold, which matches an extra template
-row, so texts without a match keep their row without a second pass.
+and past ``BROADCAST_GRAMS`` the join is left to the planner.  Every text's first
+gram is a mark that matches an extra template row, so texts without a match keep
+their row without a second pass.  The work is linear in a text's words and votes.
 
 Null text counts as empty.  Repeated rows each get their row.  Empty tables give
 empty results.  Only the id and text columns are read.
@@ -25,16 +28,42 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ALNUM_WORD, alnum_words, text_or_empty
+from .common import text_or_empty
 
-GRAM = 2
+WORD = rb"[0-9a-z\x80-\xff]+"  # of lower-cased UTF-8: digits, letters and whole non-ASCII characters
+MARK = 0
 GAP = 2  # diagonals this close belong to one span
 BROADCAST_GRAMS = 200_000
 
 
+def words_of(text: bytes) -> list[bytes]:
+    return re.findall(WORD, text.lower())  # bytes.lower folds A-Z only
+
+
+class WordHashes(dict):
+    """word -> 64-bit hash, kept for the words of a task up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+def gram_hashes(words: list[bytes], known: WordHashes) -> np.ndarray:
+    """The rolling 2-grams' hashes, from the hashes of their words."""
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    with np.errstate(over="ignore"):
+        return (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ (h[1:] >> np.uint64(29)))).view(np.int64)
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
@@ -42,8 +71,8 @@ class Template:
     exact: bool = False
 
     @property
-    def words(self) -> list[str]:
-        return re.findall(ALNUM_WORD, self.text.lower())
+    def words(self) -> list[bytes]:
+        return words_of(self.text.encode())
 
 
 # fixed values: the base phrases
@@ -70,80 +99,81 @@ NOTICES = (
 )
 
 
-def _grams(words: Column) -> Column:
-    """array<struct<h, a, b>>: rolling 2-grams with their hash."""
-    n = F.size(words)
-    return F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))),
-                      lambda a, b: F.struct(F.xxhash64(a, b).alias("h"), a.alias("a"), b.alias("b")))
-
-
 def template_table(spark, templates: tuple[Template, ...]) -> DataFrame:
-    """(tid, tpos, ta, tb, h, need, exact, label), and the extra row (tid -1)."""
-    rows = [(-1, 0, "", "", 0, True, "")]
+    """(tid, tpos, h, need, exact), and the row of the mark (tid -1)."""
+    known = WordHashes()
+    rows = [(-1, 0, MARK, 0, True)]
     for tid, t in enumerate(templates):
-        w = t.words
-        rows += [(tid, p, w[p], w[p + 1], len(w) - 1, t.exact, t.label) for p in range(len(w) - 1)]
-    table = spark.createDataFrame(rows, "tid int, tpos int, ta string, tb string, need int, exact boolean, label string")
-    table = table.withColumn("h", F.xxhash64("ta", "tb"))
+        rows += [(tid, p, int(h), len(t.words) - 1, t.exact) for p, h in enumerate(gram_hashes(t.words, known))]
+    table = spark.createDataFrame(rows, "tid int, tpos int, h long, need int, exact boolean")
     return F.broadcast(table) if len(rows) <= BROADCAST_GRAMS else table
 
 
+def text_grams(docs: DataFrame, id_col: str, text_col: str, templates: tuple[Template, ...]) -> DataFrame:
+    """(id, th, n_words, g): the text's hash, its words' number, and its gram hashes after the mark."""
+    known = WordHashes()
+    meant: dict[int, set[tuple[bytes, bytes]]] = {}
+    for t in templates:
+        for p, h in enumerate(gram_hashes(t.words, known)):
+            meant.setdefault(int(h), set()).add((t.words[p], t.words[p + 1]))
+    wanted = np.sort(np.fromiter(meant, np.int64, len(meant)))
+
+    def rows(batches):
+        hashes = WordHashes()
+        for b in batches:
+            counts, grams = [], []
+            for text in b.column(2).to_pylist():
+                words = words_of(text)
+                g = gram_hashes(words, hashes) if len(words) > 1 else np.zeros(0, np.int64)
+                if len(wanted):
+                    at = np.minimum(np.searchsorted(wanted, g), len(wanted) - 1)
+                    for i in np.nonzero(wanted[at] == g)[0]:
+                        if (words[i], words[i + 1]) not in meant[int(g[i])]:
+                            g[i] = MARK  # other words with this hash; the mark counts in first place only
+                counts.append(len(words))
+                grams.append(np.concatenate([[MARK], g]))
+            offsets = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int32)
+            flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts, pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))], ["id", "th", "n_words", "g"])
+
+    kind = docs.schema[id_col].dataType
+    schema = T.StructType([T.StructField("id", kind), T.StructField("th", T.LongType()), T.StructField("n_words", T.LongType()),
+                           T.StructField("g", T.ArrayType(T.LongType()))])
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("text")).mapInArrow(rows, schema)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: tuple[Template, ...] = BASE + NOTICES, share: float = 0.75) -> DataFrame:
     """One row per document: id, n_words, spans (template, first and last word,
     share of the template's grams that voted)."""
-    spark = docs.sparkSession
-    text = text_or_empty(text_col)
-    extra = F.struct(F.xxhash64(F.lit(""), F.lit("")).alias("h"), F.lit("").alias("a"), F.lit("").alias("b"))
-    rows = (docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), alnum_words(text).alias("w"))
-            .select("id", "th", F.size("w").cast("long").alias("n_words"), F.concat(_grams(F.col("w")), F.array(extra)).alias("g"))
-            .select("id", "th", "n_words", F.posexplode("g").alias("pos", "g"))
-            .select("id", "th", "n_words", "pos", F.col("g.h").alias("h"), F.col("g.a").alias("a"), F.col("g.b").alias("b")))
     key = ["id", "th", "n_words"]
-    hits = (rows.join(template_table(spark, templates), "h").filter("a = ta and b = tb")
-            .groupBy(*key, "tid", (F.col("pos") - F.col("tpos")).alias("diag"))
-            # copies of a row repeat each vote: count positions, and rows by the extra gram
-            .agg(F.count("*").alias("votes"), F.collect_set("tpos").alias("at"), F.first("need").alias("need"),
-                 F.first("exact").alias("exact")))
-    # diagonals of a text meet: one group holds what one text matched
-    found = hits.groupBy(*key).agg(
-        F.sum(F.when(F.col("tid") < 0, F.col("votes"))).alias("copies"),
-        F.array_sort(F.collect_list(F.when(F.col("tid") >= 0, F.struct("tid", "diag", "at", "need", "exact")))).alias("d"))
-    exact = F.transform(F.filter("d", lambda x: x["exact"] & (F.size(x["at"]) == x["need"])),
-                        lambda x: F.struct(x["tid"].alias("tid"), x["diag"].alias("first"), (x["diag"] + x["need"]).alias("last"),
-                                           F.lit(1.0).alias("share")))
-    # start a new span where the template changes or the diagonal jumps; else extend the open one
-    loose = F.filter("d", lambda x: ~x["exact"])
-    open_type = "array<struct<tid:int,lo:int,hi:int,first:int,last:int,at:array<int>,need:int>>"
-    merged = F.aggregate(loose, F.array().cast(open_type), lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["tid"] == x["tid"]) & (x["diag"] - F.element_at(acc, -1)["hi"] <= GAP),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(_extend(F.element_at(acc, -1), x))))
-        .otherwise(F.concat(acc, F.array(_open(x)))))
-    good = F.transform(
-        F.filter(merged, lambda s: (F.size(s["at"]) >= share * s["need"]) & (s["last"] - s["first"] <= 1.5 * s["need"] + GAP)),
-        lambda s: F.struct(s["tid"].alias("tid"), s["first"].alias("first"), s["last"].alias("last"),
-                           (F.size(s["at"]) / s["need"]).alias("share")))
+    votes = (text_grams(docs, id_col, text_col, templates).select(*key, F.posexplode("g").alias("at", "h"))
+             .join(template_table(docs.sparkSession, templates), "h").filter((F.col("tid") < 0) == (F.col("at") == 0))
+             .select(*key, "tid", "tpos", "need", "exact", (F.col("at") - 1 - F.col("tpos")).alias("diag"))
+             .groupBy(*key, "tid", "diag")
+             # copies of a row repeat each vote: count positions, and rows by the mark
+             .agg(F.count("*").alias("votes"), F.collect_set("tpos").alias("at"), F.first("need").alias("need"),
+                  F.first("exact").alias("exact")))
+    # diagonals close together are one span; those of a phrase stand alone
+    order = Window.partitionBy(*key, "tid").orderBy("diag")
+    starts = F.when(F.col("exact") | (F.coalesce(F.col("diag") - F.lag("diag").over(order), F.lit(GAP + 1)) > GAP), 1).otherwise(0)
+    spans = (votes.withColumn("starts", starts).withColumn("span", F.sum("starts").over(order))
+             .groupBy(*key, "tid", "span")
+             .agg(F.sum("votes").alias("votes"), F.array_distinct(F.flatten(F.collect_set("at"))).alias("at"),
+                  F.min(F.col("diag") + F.array_min("at")).alias("first"), F.max(F.col("diag") + F.array_max("at") + 1).alias("last"),
+                  F.first("need").alias("need"), F.first("exact").alias("exact")))
+    voted = F.size("at") / F.col("need")
+    good = F.when(F.col("exact"), voted == 1).otherwise((voted >= share) & (F.col("last") - F.col("first") <= 1.5 * F.col("need") + GAP))
     labels = F.array(*[F.lit(t.label) for t in templates])
-    spans = F.transform(F.concat(exact, good), lambda s: F.struct(
-        s["tid"].alias("tid"), F.get(labels, s["tid"]).alias("label"), s["first"].alias("first"),
-        s["last"].alias("last"), s["share"].alias("share")))
-    return (found.withColumn("spans", spans)
+    span = F.struct("tid", F.get(labels, F.col("tid")).alias("label"), "first", "last", voted.alias("share"))
+    found = spans.groupBy(*key).agg(F.sum(F.when(F.col("tid") < 0, F.col("votes"))).alias("copies"),
+                                    F.collect_list(F.when((F.col("tid") >= 0) & good, span)).alias("spans"))
+    return (found.withColumn("spans", F.array_sort("spans"))
             .select("id", "n_words", "spans", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col"))
 
 
-def _open(x: Column) -> Column:
-    return F.struct(x["tid"].alias("tid"), x["diag"].alias("lo"), x["diag"].alias("hi"),
-                    (x["diag"] + F.array_min(x["at"])).alias("first"), (x["diag"] + F.array_max(x["at"]) + 1).alias("last"),
-                    x["at"].alias("at"), x["need"].alias("need"))
-
-
-def _extend(s: Column, x: Column) -> Column:
-    return F.struct(s["tid"].alias("tid"), s["lo"].alias("lo"), x["diag"].alias("hi"),
-                    F.least(s["first"], x["diag"] + F.array_min(x["at"])).alias("first"),
-                    F.greatest(s["last"], x["diag"] + F.array_max(x["at"]) + 1).alias("last"),
-                    F.array_union(s["at"], x["at"]).alias("at"), s["need"].alias("need"))
-
-
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    templates: tuple[Template, ...] = BASE + NOTICES) -> DataFrame:
     """The digest of ``scan``: places, first and last word and labels of the

@@ -1,6 +1,9 @@
+import random
 import re
+import time
 
-from riskgrid.llm.license_scan import license_report
+from riskgrid.llm import license_scan
+from riskgrid.llm.license_scan import BASE, GAP, NOTICES, gram_hashes, license_report, scan
 
 PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 CASES = [
@@ -37,3 +40,67 @@ def test_notices_and_scores(spark):
     assert got[8].labels == "cc-by,cc-by-nc" and got[9].labels == "mit"
     assert got[12].labels == "" and got[3].score == 0.0
     assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def loose(text):
+    """The labels of the notices by their votes, word by word."""
+    w = [x.encode() for x in words_of(text)]
+    out = set()
+    for t in NOTICES:
+        need, votes = len(t.words) - 1, {}
+        for i in range(len(w) - 1):
+            for p in range(need):
+                if (w[i], w[i + 1]) == (t.words[p], t.words[p + 1]):
+                    votes.setdefault(i - p, set()).add(p)
+        run = []
+        for d in [*sorted(votes), None]:
+            if run and (d is None or d - run[-1] > GAP):
+                first, last = min(x + min(votes[x]) for x in run), max(x + max(votes[x]) + 1 for x in run)
+                if len(set().union(*(votes[x] for x in run))) >= 0.75 * need and last - first <= 1.5 * need + GAP:
+                    out.add(t.label)
+                run = []
+            run.append(d)
+    return out
+
+
+def words_of(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def test_loose_spans_against_votes(spark):
+    rng = random.Random(7)
+    texts = []
+    for _ in range(300):
+        parts = []
+        for t in rng.sample(NOTICES, rng.randint(0, 3)):
+            w = [x.decode() for x in t.words]
+            for _ in range(rng.randint(0, 4)):
+                i = rng.randrange(len(w))
+                if rng.random() < 0.5:
+                    w.insert(i, rng.choice(["very", "the", "license"]))
+                elif len(w) > 2:
+                    del w[i]
+            parts.append(" ".join(w))
+            parts.append(" ".join(rng.choices(["and", "the", "license", "under", "x"], k=rng.randint(0, 12))))
+        texts.append(". ".join(parts))
+    got = {r.id: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert {s.label for s in got[i].spans if s.tid >= len(BASE)} == loose(t), t
+    assert any(loose(t) for t in texts)
+
+
+def test_colliding_hashes_do_not_vote(spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "gram_hashes", lambda words, known: gram_hashes(words, known) % 3 + 1)
+    docs = spark.createDataFrame(list(enumerate(CASES)), "doc_id bigint, text string")
+    got = {r.doc_id: tuple(r)[1:6] for r in license_report(docs, templates=BASE).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(CASES)}
+
+
+def test_long_matching_texts(spark):
+    notice = "This work is licensed under the GNU General Public License, version 3. Released under the MIT License. "
+    began = time.time()
+    r = license_report(spark.createDataFrame([(1, notice * 12_000), (2, "general public license " * 70_000)], "doc_id bigint, text string")).collect()
+    assert time.time() - began < 60
+    got = {x.doc_id: x for x in r}
+    assert got[1].n_base == 12_000 and "gpl-3.0" in got[1].labels and got[2].n_base == 70_000
