@@ -62,6 +62,7 @@ def test_against_brute_force(spark, bits, monkeypatch):
     # nothing shipped, many blocks
     monkeypatch.setattr(source_divergence, "MOST_SHIPPED", -1)
     monkeypatch.setattr(source_divergence, "BLOCK_CELLS", 50)
+    monkeypatch.setattr(source_divergence, "CHUNK", 300)
     assert sorted(map(tuple, divergence(docs, least_docs=8, bits=bits).collect())) == want
 
 
@@ -71,5 +72,17 @@ def test_empty(spark):
 
 
 def test_only_digests_move(spark):
-    docs = spark.createDataFrame(rows(), "text string, lang string, source string")
-    assert [f.dataType.typeName() for f in source_divergence.term_rows(docs).schema] == ["string", "string", "long", "long", "long"]
+    docs = spark.createDataFrame([(1, b"a b"), (2, b"")], "gid long, text binary")
+    assert [f.dataType.typeName() for f in source_divergence.count_rows(docs).schema] == ["long"] * 4
+
+
+def test_hashes_follow_the_bytes():
+    hasher = source_divergence.TermHasher()
+    data = "Ab ab 1ab\x00ÄB äb ab_AB  b ba ".encode()
+    low, start, end = hasher.terms(data)
+    words = [low[a:z].tobytes() for a, z in zip(start, end)]
+    assert words == re.findall(rb"[a-z\x80-\xff]+", data.lower())
+    for which in (0, 1):
+        h = hasher.hashes(low, start, end, which).tolist()
+        assert len(set(zip(words, h))) == len(set(words)) == len(set(h))
+    assert hasher.terms(b"")[1].tolist() == [] and hasher.terms(b"x")[2].tolist() == [1]
