@@ -12,7 +12,7 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 __all__ = ["SPACE_WORD", "ALNUM_WORD", "alnum_words", "cut_lineage", "ensure_checkpoint_dir",
-           "path_exists", "read_table", "shuffle_partitions", "text_or_empty"]
+           "free_names", "path_exists", "read_table", "shuffle_partitions", "text_or_empty"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,17 @@ def alnum_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(ALNUM_WORD), F.lit(0))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like ``wanted`` that ``df`` does not have, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in the store Spark reads it from."""
     jvm = spark.sparkContext._jvm

@@ -33,7 +33,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, cut_lineage, text_or_empty
+from .common import alnum_words, cut_lineage, free_names, text_or_empty
 
 BLOCKS, BLOCK_BITS, RADIUS = 8, 8, 23
 BROADCAST_SHINGLES = 500_000
@@ -181,7 +181,8 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` in which no item was found."""
+    i, h = free_names(docs, "__kid", "__th")
     found = cut_lineage(leaked_passages(docs, items, id_col, text_col, **how)
-                        .select(F.col("kid").alias("__kid"), F.col("th").alias("__th")).distinct())
-    return (docs.withColumn("__kid", _key(id_col)).withColumn("__th", F.xxhash64(text_or_empty(text_col)))
-            .join(found, ["__kid", "__th"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]))
+                        .select(F.col("kid").alias(i), F.col("th").alias(h)).distinct())
+    return (docs.withColumn(i, _key(id_col)).withColumn(h, F.xxhash64(text_or_empty(text_col)))
+            .join(found, [i, h], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]))

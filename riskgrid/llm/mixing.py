@@ -37,7 +37,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, cut_lineage, text_or_empty
+from .common import SPACE_WORD, cut_lineage, free_names, text_or_empty
 
 STORE_EVERY = 6
 # parameters: target shares by language and quality label
@@ -152,12 +152,14 @@ def quality_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def mixed_documents(docs: DataFrame, domains_of: DataFrame, targets: dict[str, float], id_col: str = "doc_id",
                     text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that get a copy, with ``rate`` and ``copies``."""
+    """The rows of ``docs`` that get a copy, with ``rate`` and ``copies`` (in place of an
+    input's own columns of these names, in any case)."""
     kid = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
+    i, h, r, c = free_names(docs, "__kid", "__th", "__rate", "__copies")
     rated = cut_lineage(mix(docs, domains_of, targets, id_col, text_col, **how)
-                        .select(kid("id").alias("__kid"), F.col("th").alias("__th"), F.col("rate").alias("__rate"), F.col("copies").alias("__copies"))
-                        .dropDuplicates(["__kid", "__th"]).filter("__copies > 0"))
-    return (docs.withColumn("__kid", kid(id_col)).withColumn("__th", F.xxhash64(text_or_empty(text_col)))
-            .join(rated, ["__kid", "__th"])
-            .select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("rate", "copies")],
-                    F.col("__rate").alias("rate"), F.col("__copies").alias("copies")))
+                        .select(kid("id").alias(i), F.col("th").alias(h), F.col("rate").alias(r), F.col("copies").alias(c))
+                        .dropDuplicates([i, h]).filter(F.col(c) > 0))
+    return (docs.withColumn(i, kid(id_col)).withColumn(h, F.xxhash64(text_or_empty(text_col)))
+            .join(rated, [i, h])
+            .select(*[F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("rate", "copies")],
+                    F.col(r).alias("rate"), F.col(c).alias("copies")))

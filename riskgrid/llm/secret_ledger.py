@@ -19,7 +19,7 @@ tables give empty results.  Only the named columns are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -41,6 +41,7 @@ class Rule:
     group: int = 0
     least: int = 0
     any_case: bool = False
+    finder: Callable[[str], list[tuple[int, int]]] | None = None
 
     @property
     def key(self) -> str:
@@ -49,6 +50,8 @@ class Rule:
     def find(self, text: str, folded: str) -> list[tuple[int, int]]:
         if self.anchor and not any(a in folded for a in self.anchor):
             return []
+        if self.finder:
+            return self.finder(text)
         found = re.finditer(self.pattern, text, re.A | (re.I if self.any_case else 0))
         return [m.span() for m in found if m.end(self.group) - m.start(self.group) >= self.least]
 
@@ -67,10 +70,30 @@ _PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
         r"(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
         rf"|(?:{_GAP}[A-Za-z][A-Za-z-]{{0,40}}:[^\n\\]{{0,200}}){{0,8}}(?:{_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}})+"
         r"""(?:["'+\x20\t]*(?:\r?\n|\\n)[\x20\t"'>#*|]*[A-Za-z0-9+/]++={0,2}(?![^\s"'`,;\\]))?)?""")
+
+
+def find_jwt(text: str) -> list[tuple[int, int]]:
+    """What the rule's pattern finds, in one pass: runs of its characters are cut at their
+    dots, so no run is read again for every start in it."""
+    out = []
+    for run in re.finditer(r"[A-Za-z0-9_.-]+", text):
+        parts, at, i = run.group().split("."), run.start(), 0
+        while i + 2 < len(parts):
+            head = parts[i].find("eyJ")
+            if 0 <= head <= len(parts[i]) - 11 and len(parts[i + 1]) >= 8 and len(parts[i + 2]) >= 8:
+                out.append((at + head, at + len(".".join(parts[i:i + 3]))))
+                at += len(".".join(parts[i:i + 3])) + 1
+                i += 3
+            else:
+                at += len(parts[i]) + 1
+                i += 1
+    return out
+
+
 MORE_RULES = (
     Rule("pem", 2, _PEM, ("-----begin",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",)),
+    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",), finder=find_jwt),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -94,15 +117,15 @@ def read_ledger(spark, path: str) -> DataFrame | None:
 
 
 def scan_versions(versions: DataFrame, ledger_path: str, paths: list[str], content: str = "text",
-                  rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``paths`` columns, ``blob`` and ``findings`` for every row of
-    ``versions``; the ledger at ``ledger_path`` gains the pairs it lacked."""
+                  rules: tuple[Rule, ...] = RULES, blob: str = "blob", findings: str = "findings") -> DataFrame:
+    """``paths`` columns, the columns named by ``blob`` and ``findings`` for every row
+    of ``versions``; the ledger at ``ledger_path`` gains the pairs it lacked."""
     spark = versions.sparkSession
     keys = [r.key for r in rules]
     wanted = F.array(*[F.lit(k) for k in keys])
     text = text_or_empty(content)
-    if {"blob", "findings"} & set(paths):
-        raise ValueError("paths may not be named blob or findings")
+    if {blob.lower(), findings.lower()} & {p.lower() for p in paths}:
+        raise ValueError(f"paths may not be named {blob} or {findings}")
     blobs = (versions.select(F.sha2(text, 256).alias("blob"), text.alias("content"))
              .groupBy("blob").agg(F.first("content").alias("content")))
     ledger = read_ledger(spark, ledger_path)
@@ -129,24 +152,25 @@ def scan_versions(versions: DataFrame, ledger_path: str, paths: list[str], conte
                         .select("blob", F.explode("findings").alias("f"))
                         .filter(F.col("f.rule").isin(keys))
                         .groupBy("blob").agg(F.sort_array(F.collect_set("f")).alias("findings")))
-    rows = versions.select(*[F.col(f"`{p}`") for p in paths], F.sha2(text, 256).alias("blob"))
-    return (rows.join(state, "blob", "left")
-            .select(*[F.col(f"`{p}`") for p in paths], "blob",
-                    F.coalesce("findings", F.array().cast(_FINDINGS)).alias("findings")))
+    rows = versions.select(*[F.col(f"`{p}`") for p in paths], F.sha2(text, 256).alias(blob))
+    return (rows.join(state.select(F.col("blob").alias(blob), F.col("findings").alias(findings)), blob, "left")
+            .select(*[F.col(f"`{p}`") for p in paths], blob,
+                    F.coalesce(findings, F.array().cast(_FINDINGS)).alias(findings)))
 
 
-def redact(found: DataFrame, content: str = "text", mark: str = "[secret]") -> DataFrame:
+def redact(found: DataFrame, content: str = "text", mark: str = "[secret]", blob: str = "blob",
+           findings: str = "findings") -> DataFrame:
     """``found`` with every finding's span in ``content`` replaced by ``mark``
     (overlapping spans by one) and without its blob and findings columns."""
     text = F.col(f"`{content}`")
-    spans = F.array_sort(F.transform("findings", lambda f: F.struct(f["start"].alias("a"), f["end"].alias("b"))))
+    spans = F.array_sort(F.transform(findings, lambda f: F.struct(f["start"].alias("a"), f["end"].alias("b"))))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     # copy the text up to each span, then the mark; spans that begin inside the last one only extend it
     done = F.aggregate(spans, start, lambda acc, s: F.struct(
         F.when(s["a"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["a"] - acc["at"]), F.lit(mark)))
         .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], s["b"]).alias("at")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(content, F.when(F.size("findings") > 0, done).otherwise(text)).drop("blob", "findings")
+    return found.withColumn(content, F.when(F.size(findings) > 0, done).otherwise(text)).drop(blob, findings)
 
 
 def span_digest(found: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, text_or_empty
+from .common import cut_lineage, free_names, text_or_empty
 from .components import connected_components
 
 BITS = 64
@@ -188,8 +188,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     text hash; of identical rows, one)."""
     found = near_duplicates(docs, id_col, text_col, **how).filter(F.col("id").eqNullSafe(F.col("component_id")))
     kid = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
-    keep = cut_lineage(found.groupBy("root").agg(F.min("th").alias("__th"), F.first(kid("id")).alias("__id"))
-                       .select("__id", "__th"))
-    marked = docs.withColumn("__id", kid(id_col)).withColumn("__th", F.xxhash64(text_or_empty(text_col)))
-    return (marked.join(keep, ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"])
+    i, h = free_names(docs, "__id", "__th")
+    keep = cut_lineage(found.groupBy("root").agg(F.min("th").alias(h), F.first(kid("id")).alias(i)).select(i, h))
+    marked = docs.withColumn(i, kid(id_col)).withColumn(h, F.xxhash64(text_or_empty(text_col)))
+    return (marked.join(keep, [i, h], "left_semi").dropDuplicates([i, h])
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

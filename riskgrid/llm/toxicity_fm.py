@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, text_or_empty
+from .common import cut_lineage, free_names, text_or_empty
 
 BITS = 20
 PREFIXES = (4, 5, 6)
@@ -181,8 +181,8 @@ def fit(rows: list[tuple[int, np.ndarray]], kept: np.ndarray, rank: int = RANK,
     return Machine(w0, kept, w, v)
 
 
-def score_rows(docs: DataFrame, model: Machine, text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """``docs`` with a last column ``__score``."""
+def score_rows(docs: DataFrame, model: Machine, text_col: str = "text", bits: int = BITS, out: str = "__score") -> DataFrame:
+    """``docs`` with a last column ``out``, which they must not have."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     cols = docs.columns
 
@@ -191,7 +191,7 @@ def score_rows(docs: DataFrame, model: Machine, text_col: str = "text", bits: in
         m = shared.value
         return pd.Series([m.score(slots_of(t, bits)) for t in text], dtype=float)
 
-    return docs.select(*[F.col(f"`{c}`") for c in cols], score(text_or_empty(text_col)).alias("__score"))
+    return docs.select(*[F.col(f"`{c}`") for c in cols], score(text_or_empty(text_col)).alias(out))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -207,4 +207,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                label_col: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of ``docs`` that the machine does not reject."""
     model = train(docs, labels, id_col, text_col, label_col, max_rows)
-    return score_rows(docs, model, text_col).filter("__score < 0.5").drop("__score")
+    name, = free_names(docs, "__score")
+    return score_rows(docs, model, text_col, out=name).filter(F.col(name) < 0.5).drop(name)

@@ -6,6 +6,7 @@ from collections import Counter
 import __spark_entry__
 import corpus_pipeline
 from conftest import SF001
+from pyspark.sql import functions as F
 from riskgrid.llm.mixing import TARGETS, mix, quality_domains
 from riskgrid.llm.secret_ledger import scan_text
 from riskgrid.llm.simhash_dedup import text_fingerprint
@@ -87,3 +88,19 @@ def test_empty_tables_and_odd_rows(spark):
 def test_registered():
     names = __spark_entry__.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+
+
+def test_stages_with_clashing_columns(spark):
+    """Names that the stages use inside, in another case too, come through with their values."""
+    own = ["blob", "Findings", "__score", "__ID", "__id", "__th", "__kid", "rows", "fp", "root"]
+    own = [c for i, c in enumerate(own) if c.lower() not in [x.lower() for x in own[:i]]]
+    plain = spark.read.parquet(f"{SF001}/documents.parquet")
+    docs = plain.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in own])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF001)
+        assert out.columns[:len(docs.columns)] == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in own), name
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in stage(spark, plain, SF001).collect()), name
+    mixed = corpus_pipeline.STAGES[-1][1](spark, plain.withColumn("Rate", F.lit("x")), SF001)
+    assert mixed.columns == [*plain.columns, "rate", "copies"] and dict(mixed.dtypes)["rate"] == "double"

@@ -79,3 +79,19 @@ def test_no_part_of_a_private_key_remains(spark, tmp_path):
     docs = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "doc_id bigint, text string")
     got = {r.doc_id: r.text for r in redact(scan_versions(docs, str(tmp_path / "l"), docs.columns)).collect()}
     assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_jwt_in_one_pass():
+    import random
+    import re
+    import time
+
+    from riskgrid.llm.secret_ledger import MORE_RULES, find_jwt
+    rule = next(r for r in MORE_RULES if r.kind == "jwt")
+    rng = random.Random(2)
+    for _ in range(4000):
+        t = "".join(rng.choices(["eyJ", "abcdefgh", "a", ".", "-", " ", "eyJabcdefgh.abcdefgh.abcdefgh"], k=rng.randint(1, 14)))
+        assert find_jwt(t) == [m.span() for m in re.finditer(rule.pattern, t, re.A)], t
+    began = time.time()
+    assert find_jwt("eyJ" * 1_000_000) == []
+    assert time.time() - began < 5
