@@ -22,6 +22,7 @@ columns are read.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,12 +52,30 @@ def tokenizer(path: str):
     return _LOADED[path]
 
 
+# fixed values: white space as the tokenizers' pattern has it
+_SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_SPACE = re.compile(_SPACE + "{4096,}")
+
+
+def encode(encoding, text: str) -> list[int]:
+    """The text's ids.  The pattern's way through a very long run of white space overflows its
+    stack, so such a run is encoded by itself: the pattern makes one piece of all of it but
+    the last character, which it leaves to what follows (of all of it at the text's end)."""
+    out, at = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding.encode_ordinary(text[at:run.start()])
+        out += encoding._encode_single_piece(text[run.start():end].encode())
+        at = end
+    return out + encoding.encode_ordinary(text[at:]) if at else encoding.encode_ordinary(text)
+
+
 def write_stream(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
                  separator: int = SEPARATOR, width: int = 2, block_bytes: int = BLOCK_BYTES) -> None:
     """Write ``docs`` as token streams under ``path``: kind=block rows (shard,
     no, payload) and kind=doc rows (shard, no, id), in stream order."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, shard = tokenizer(vocabulary).encode_ordinary, TaskContext.get().partitionId()
+        encoding, shard = tokenizer(vocabulary), TaskContext.get().partitionId()
         end = np.array([separator], _DTYPES[width]).tobytes()
         held, block, doc = bytearray(), 0, 0
 
@@ -65,7 +84,7 @@ def write_stream(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
         for b in batches:
             for text in b["text"]:
-                held += np.array(encode(text), _DTYPES[width]).tobytes() + end
+                held += np.array(encode(encoding, text), _DTYPES[width]).tobytes() + end
                 if len(held) >= 16 * block_bytes:
                     full = len(held) // block_bytes
                     yield frame("block", range(block, block + full), [bytes(held[i * block_bytes:(i + 1) * block_bytes]) for i in range(full)], [None] * full)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from conftest import SF001
-from riskgrid.llm.token_counts import VOCABULARY, document_lengths, flat_file_blocks, token_counts, tokenizer
+from riskgrid.llm.token_counts import VOCABULARY, document_lengths, flat_file_blocks, encode, token_counts, tokenizer
 
 
 def test_counts_against_the_tokenizer(spark, tmp_path):
@@ -37,3 +37,14 @@ def test_flat_files_against_a_split(spark, tmp_path, block, monkeypatch):
     for r in document_lengths(flat_file_blocks(spark, str(tmp_path), block), 3).collect():
         got.setdefault(r.shard.rsplit("/", 1)[1], {})[r.seq] = (r.n_tokens, r.closed)
     assert {f: [d[i] for i in range(len(d))] for f, d in got.items()} == want
+
+
+def test_long_white_space(spark, tmp_path, monkeypatch):
+    encoding = tokenizer(VOCABULARY)
+    cases = [a + b + c for a in ("", "x", "it's", "\u3000") for c in ("", "y", "'s", "7", "\u3000z")
+             for b in (" " * 5000, "\n" * 5000, " \n" * 2500, "\t" * 4097 + " ", "\u3000" * 4096, "\x1c" * 5000 + " " * 4096)]
+    for t in cases + ["a" + " " * 6000 + "b" + "\n" * 5000 + "c"]:
+        assert encode(encoding, t) == encoding.encode_ordinary(t)
+    docs = spark.createDataFrame([(1, " " * 10_000_000), (2, "x" + "\n" * 10_000_000 + "y")], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts(docs, str(tmp_path / "w")).collect()}
+    assert got == {1: 10_000_000, 2: 1 + (10_000_000 - 1 + 1) // 2 + 1 + 1}
