@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from conftest import SF001
 from riskgrid.llm.page_text import extract_text, main_text
@@ -69,3 +70,45 @@ def test_empty_and_unclosed_raw_elements():
     assert main_text("<article><p>a <svg class='i' width=1 /> b</p><p>c<svg><path d=1 /></svg> d</p></article>", [], set()) == "a b\n\nc d"
     for tag in ("button", "object", "select"):
         assert main_text(f"<article><p>a <{tag} id=x> b</p><p>c <{tag}>no</{tag}> d</p></article>", [], set()) == "a b\n\nc d"
+
+
+def test_names_do_not_take_the_article():
+    for name in ("layout has-comments", "bg-navy", "ad-free", "navy-theme", "social-layout"):
+        assert main_text(f"<body><nav>menu</nav><div class='{name}'><article><p>text</p></article></div><p>rest</p></body>", [], set()) == "text", name
+        if "comments" not in name:
+            assert main_text(f"<body><div class='{name}'><p>a long text of its own</p></div><p>rest</p></body>", [], set()).startswith("a long text"), name
+    assert main_text("<article><h1 class='entry-header'>Title</h1><p class='share-price'>It rose</p><p class='notice'>no</p>"
+                     "<div class='related-work'><p>no</p></div></article>", [], set()) == "Title\n\nIt rose"
+    # reader comments go: in a section, as articles, in a section without a name, and where they are most of the page
+    assert main_text("<article><p>text</p></article><section class='comments'><article><p>no</p></article></section>", [], set()) == "text"
+    assert main_text("<article><p>text</p></article><section><article class='comment'><p>no, and at length</p></article></section>", [], set()) == "text"
+    assert main_text("<div><p>text</p></div><div id='comments'><p>no, and at some length besides</p></div>", [], set()) == "text"
+
+
+def test_the_template_chooses_over_tags(spark):
+    """The same promotion stands in an article element of every page; the story does not.  Without the template it would win."""
+    def page(i):
+        story = "".join(f"<p>story {i} has part {j} &amp; more</p>" for j in range(4 + i % 3))
+        return (f"<body><div class=top>Site</div><article class=teaser><h2>Buy</h2><p>our book</p></article>"
+                f"<div id=story><h1>Title {i}</h1>{story}</div><div class=legal>All ours</div></body>")
+    pages = spark.createDataFrame([(i, f"http://t.org/{i}", page(i)) for i in range(6)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    for i in range(6):
+        want = "\n\n".join([f"Title {i}", *(f"story {i} has part {j} & more" for j in range(4 + i % 3))])
+        assert got[i] == want and main_text(page(i), [], set()) == "Buy\n\nour book"
+
+
+def test_tags_end_at_the_next_bracket():
+    assert main_text("<article><p>a <b c <i>d</i> e</p><p title='x < y' id=\"p\">f</p>g<", [], set()) == "a d e\n\nf\n\ng<"
+    assert main_text("<article><p>a<!-- <p>no</p> -->b<![CDATA[c]]>d<? e ?>f<!-- open <p>no</p>", [], set()) == "abdf"
+    assert main_text("<article><p>a<script>if (x<y) { '</p>' }</SCRIPT >b</p></script>c", [], set()) == "ab\n\nc"
+
+
+def test_time_follows_the_length():
+    def took(text):
+        began = time.perf_counter()
+        main_text(text, [], set())
+        return time.perf_counter() - began
+    for unit in ("<" + "a" * 50, "<a ", "<script ", "<svg x", "<button ", "<!", "<!-- ", "<a \"", "<a '\"", "<div class='ads'>", "</div>", "&amp", "<select><button>"):
+        small, large = (min(took(unit * n) for _ in range(3)) for n in (4_000, 32_000))
+        assert large < 20 * small + 0.5, (unit, small, large)
