@@ -9,7 +9,8 @@ re-read.  All stages but the last return the columns of ``docs``.
 * near_dedup: one document of each SimHash component stays.
 * decontaminate: documents that hold a benchmark passage go.
 * secrets: every secret found is replaced in the text; documents stay.
-* mix: adds ``rate`` and ``copies``; documents without a copy go.
+* mix: adds ``rate`` and ``copies``, in place of own columns of these names; documents
+  without a copy go.
 
 Null texts count as empty; empty input gives empty output; extra columns are
 carried.  Where each operator decides on ties and repeated rows is in its module.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskgrid.llm import decontaminate, mixing, secret_ledger, simhash_dedup, toxicity_fm
 from riskgrid.llm.catalog import new_folder
-from riskgrid.llm.common import read_table
+from riskgrid.llm.common import free_names, read_table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_ledger.scan_versions(docs, new_folder(spark, "ledger"), docs.columns)
-    clean = secret_ledger.redact(found)
+    blob, findings = free_names(docs, "blob", "findings")
+    found = secret_ledger.scan_versions(docs, new_folder(spark, "ledger"), docs.columns, blob=blob, findings=findings)
+    clean = secret_ledger.redact(found, blob=blob, findings=findings)
     if "n_chars" in docs.columns:  # keeps its type and follows the text
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
                                  .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
