@@ -138,7 +138,7 @@ def reliability(scored: DataFrame, prob: str = "prob", label: str = "label", n_b
     strictly below p; empty bins are absent."""
     by = list(by)
     if not by:
-        raise ValueError("reliability needs a group column")
+        return reliability(scored.withColumn("_all", F.lit(1)), prob, label, n_bins, ["_all"]).drop("_all")
     e = _edges(scored, prob, n_bins, by).select(
         *by, F.slice("edges", 2, n_bins - 1).alias("inner"))
     j = scored.select(*by, prob, label).join(checked_broadcast(e, None), by)   # one row per group
@@ -161,7 +161,7 @@ def calibration_table(scored: DataFrame, prob: str = "prob", label: str = "label
     """
     by = list(by)
     if not by:
-        raise ValueError("calibration_table needs a group column")
+        return calibration_table(scored.withColumn("_all", F.lit(1)), prob, label, n_bins, tail_q, ["_all"]).drop("_all")
     base = base_rate(scored, label, by)
     rows = scored.select(*by, F.col(prob).alias("_p"), F.col(label).alias("_y"))
     if tail_q is not None:
@@ -193,6 +193,8 @@ def calibration_tail(scored: DataFrame, prob: str = "prob", label: str = "label"
     """D24 on the tail plus F9: ``q_axis = linspace(tail_q, 1, #bins)`` over
     the surviving bins in bin order."""
     by = list(by)
+    if not by:
+        return calibration_tail(scored.withColumn("_all", F.lit(1)), prob, label, tail_q, n_bins, ["_all"]).drop("_all")
     t = calibration_table(scored, prob, label, n_bins, tail_q, by)
     # at most n_bins rows per group: the window sees a parameter-bounded table
     w = Window.partitionBy(*by).orderBy("bin")
@@ -207,6 +209,8 @@ def tail_summary(scored: DataFrame, prob: str = "prob", label: str = "label",
                  tail_q: float = 0.99, n_bins: int = 12, by: Sequence[str] = ()) -> DataFrame:
     """Base rate, tail quantile, number of tail bins, max lift."""
     by = list(by)
+    if not by:
+        return tail_summary(scored.withColumn("_all", F.lit(1)), prob, label, tail_q, n_bins, ["_all"]).drop("_all")
     t = calibration_table(scored, prob, label, n_bins, tail_q, by)
     s = t.groupBy(*by).agg(F.count(F.lit(1)).alias("n_bins_tail"),
                            F.max("lift").alias("max_lift_tail"))

@@ -4,24 +4,35 @@ feature pairs (C7), gradient on an uneven grid (F6), threshold detection
 confidence intervals of the PD threshold (J11, H7), permutation importance
 (J8), mean absolute contribution and top features (D26, G7).
 
-Rows x grid points are generated with ``posexplode`` of a per-feature grid
-array (a parameter-sized fan-out inside one stage, never a join of data with
-data); every PD value is a grouped average with map-side partial sums.  The
-bootstrap scores each (row, grid point) once and re-weights it for every
-replicate with deterministic Poisson weights, instead of re-scoring B times.
+With a column scorer, rows x grid points are generated with ``posexplode`` of a
+per-feature grid array (a parameter-sized fan-out inside one stage, never a join of
+data with data); a tree scorer adds the scores of whole batches instead and writes
+no row per grid point (``functions.ensemble``).  Every PD value is an average of
+partial sums.
+
+The bootstrap scores each (row, grid point) once.  Per batch, the replicates'
+weights are a (replicates x rows) matrix and the scores a (rows x grid) matrix;
+their product is the batch's share of every replicate's curve, and products add up.
+
+A permutation is a keyed bijection on row positions, so a row computes its donor's
+position instead of sorting a shuffled copy of the rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskgrid.functions.exprs import hash_uniform, linspace
+from riskgrid.functions.exprs import TWO_POW_32, linspace
+from riskgrid.functions.permute import donor_positions
 from riskgrid.operators.curves import auc_ap
-from riskgrid.operators.sampling import bootstrap_weights
+from riskgrid.operators.sampling import poisson_cdf
 from riskgrid.operators.stats import quantile_array, quantiles, quantiles_long
 from riskgrid.plans.ordering import ordered
 from riskgrid.session import checked_broadcast, cut_lineage
@@ -49,16 +60,29 @@ def _grid_of(g: dict[str, list[float]], feature: str):
     return F.array(*[F.lit(v) for v in g[feature]])
 
 
+def _distinct_rest(base: DataFrame, features: Sequence[str], over: Sequence[str]) -> DataFrame:
+    """The rows' distinct values of the features that are not overridden, and how many rows have them:
+    all that a score at a grid point depends on."""
+    rest = [f for f in features if f not in over]
+    return base.groupBy(*rest).agg(F.count(F.lit(1)).alias("_n")).withColumns({f: F.lit(None).cast("double") for f in over})
+
+
+def _weighted(col: str):
+    return (F.sum(F.col(col) * F.col("_n")) / F.sum("_n")).alias("pd")
+
+
 def pd_1d(base: DataFrame, features: Sequence[str], scorer, n: int = 40,
           q_low: float = 0.01, q_high: float = 0.99) -> DataFrame:
     """Mean predicted probability with one feature set to each grid
     value -> (feature, i, g, pd)."""
     g = grids(base, features, n, q_low, q_high)
+    if hasattr(scorer, "partial_dependence"):
+        return scorer.partial_dependence(base, {f: g[f] for f in features})
     out = None
     for f in features:
-        rows = base.select(*scorer.features, F.posexplode(_grid_of(g, f)).alias("i", "g"))
+        rows = _distinct_rest(base, scorer.features, [f]).select("*", F.posexplode(_grid_of(g, f)).alias("i", "g"))
         s = scorer.score(rows, {f: F.col("g")})
-        part = s.groupBy("i", "g").agg(F.avg("prob").alias("pd")) \
+        part = s.groupBy("i", "g").agg(_weighted("prob")) \
             .select(F.lit(f).alias("feature"), F.col("i").cast("int").alias("i"), "g", "pd")
         out = part if out is None else out.unionByName(part)
     return out
@@ -69,12 +93,14 @@ def pd_2d(base: DataFrame, feature_pairs: Sequence[tuple[str, str]], scorer, n:
     """Surface per pair -> long (f1, f2, i1, i2, g1, g2, pd)."""
     feats = sorted({f for p in feature_pairs for f in p})
     g = grids(base, feats, n, q_low, q_high)
+    if hasattr(scorer, "pair_dependence"):
+        return scorer.pair_dependence(base, g, feature_pairs)
     out = None
     for f1, f2 in feature_pairs:
-        rows = base.select(*scorer.features, F.posexplode(_grid_of(g, f1)).alias("i1", "g1")) \
+        rows = _distinct_rest(base, scorer.features, [f1, f2]).select("*", F.posexplode(_grid_of(g, f1)).alias("i1", "g1")) \
             .select("*", F.posexplode(_grid_of(g, f2)).alias("i2", "g2"))
         s = scorer.score(rows, {f1: F.col("g1"), f2: F.col("g2")})
-        part = s.groupBy("i1", "i2", "g1", "g2").agg(F.avg("prob").alias("pd")).select(
+        part = s.groupBy("i1", "i2", "g1", "g2").agg(_weighted("prob")).select(
             F.lit(f1).alias("f1"), F.lit(f2).alias("f2"), F.col("i1").cast("int").alias("i1"),
             F.col("i2").cast("int").alias("i2"), "g1", "g2", "pd")
         out = part if out is None else out.unionByName(part)
@@ -83,14 +109,15 @@ def pd_2d(base: DataFrame, feature_pairs: Sequence[tuple[str, str]], scorer, n:
 
 def gradient(curve: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") -> DataFrame:
     """second-order gradient of y over an uneven grid (NumPy's rule),
-    after collapsing repeated x values -> (by..., j, x, y, n, grad).
+    after collapsing repeated x values -> (by..., j, x, y, n, grad).  y is cut to
+    9 decimals, so that a flat curve is flat in whatever order it was summed.
 
     Interior: ``(a^2 y+ + (b^2 - a^2) y - b^2 y-) / (a b (a + b))``; ends:
     one-sided differences.  The curve has a parameter-bounded number of
     points per group, so the windows here are small by construction.
     """
     by = list(by)
-    d = curve.groupBy(*by, F.col(x).alias("x")).agg(F.min(y).alias("y"))
+    d = curve.groupBy(*by, F.col(x).alias("x")).agg(F.round(F.min(y), 9).alias("y"))
     w = Window.partitionBy(*by).orderBy("x")
     d = d.select("*", (F.row_number().over(w) - 1).alias("j"),
                  F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("n"),
@@ -140,6 +167,35 @@ def pathways(delta: DataFrame) -> DataFrame:
                         F.format_string("%s -- %s : Δ=%.4f", "f1", "f2", "delta").alias("text"))
 
 
+def _replicate_sums(replicates: int, frac: float, seed: int):
+    """Per task: the weighted score sums of each replicate at each grid point; replicate -1 weighs all rows 1."""
+    cdf = np.array(poisson_cdf(frac))
+    salts = [f"{seed}|boot|{b}|".encode() for b in range(replicates)]
+
+    def weights(keys: list[bytes]) -> np.ndarray:
+        draw = b"".join(hashlib.md5(s + k).digest()[:4] for s in salts for k in keys)
+        u = np.frombuffer(draw, ">u4").astype(float) / TWO_POW_32
+        return np.searchsorted(cdf, u, side="left").reshape(replicates, len(keys)).astype(float)
+
+    def rows(batches):
+        num = den = None
+        for b in batches:
+            keys = [k.encode() for k in b.column(0).to_pylist()]
+            if not keys:
+                continue
+            p = b.column(1).flatten().to_numpy().reshape(len(keys), -1)
+            for lo in range(0, len(keys), 4096):
+                part = p[lo:lo + 4096]
+                w = np.vstack([np.ones((1, len(part))), weights(keys[lo:lo + 4096])])
+                num = w @ part if num is None else num + w @ part
+                den = w.sum(axis=1) if den is None else den + w.sum(axis=1)
+        if num is not None:
+            b, at = (x.ravel() for x in np.indices(num.shape))
+            yield pa.RecordBatch.from_arrays([pa.array(b - 1, pa.int32()), pa.array(at, pa.int32()), pa.array(num.ravel()),
+                                              pa.array(np.repeat(den, num.shape[1]))], ["b", "at", "num", "den"])
+    return rows
+
+
 def threshold_ci(base: DataFrame, features: Sequence[str], scorer, key: str, n: int = 40,
                  replicates: int = 200, frac: float = 0.8, seed: int = 42,
                  q_low: float = 0.01, q_high: float = 0.99) -> DataFrame:
@@ -148,27 +204,16 @@ def threshold_ci(base: DataFrame, features: Sequence[str], scorer, key: str, n:
     thr_quantile, thr_q_lo, thr_q_hi, pd_at_thr).
 
     Each (row, grid point) is scored once; replicate b re-weights it with a
-    Poisson(frac) draw ``w_rb`` (H7): ``PD_b(g) = sum w p / sum w``.  One
-    aggregation yields the full and all replicate curves.
+    Poisson(frac) draw ``w_rb`` (H7): ``PD_b(g) = sum w p / sum w``.  The plan is
+    the same for any number of replicates.
     """
-    B = int(replicates)
     g = grids(base, features, n, q_low, q_high)
-    wcols = bootstrap_weights(base, key, B, frac, seed)
-    wbase = base.select(key, *scorer.features, *[c.alias(nm) for nm, c in wcols.items()])
-    curves = None
-    for f in features:
-        rows = wbase.select(*scorer.features, *wcols, F.posexplode(_grid_of(g, f)).alias("i", "g"))
-        s = scorer.score(rows, {f: F.col("g")})
-        aggs = [F.avg("prob").alias("_full")]
-        for b in range(B):
-            aggs += [F.sum(F.col(f"_w{b}") * F.col("prob")).alias(f"_n{b}"),
-                     F.sum(F.col(f"_w{b}")).alias(f"_d{b}")]
-        wide = s.groupBy("i", "g").agg(*aggs)
-        reps = F.array(F.struct(F.lit(-1).alias("b"), F.col("_full").alias("pd")),
-                       *[F.struct(F.lit(b).alias("b"), (F.col(f"_n{b}") / F.col(f"_d{b}")).alias("pd"))
-                         for b in range(B)])
-        part = wide.select(F.lit(f).alias("feature"), "i", "g", F.inline(reps))
-        curves = part if curves is None else curves.unionByName(part)
+    scores = scorer.with_grid(base, {f: g[f] for f in features}, "_scores").select(F.col(key).cast("string").alias("key"), "_scores")
+    points = base.sparkSession.createDataFrame([(k, f, i, float(v)) for k, (f, i, v) in enumerate(
+        (f, i, v) for f in features for i, v in enumerate(g[f]))], "at int, feature string, i int, g double")
+    sums = scores.mapInArrow(_replicate_sums(replicates, frac, seed), "b int, at int, num double, den double") \
+        .groupBy("b", "at").agg((F.sum("num") / F.sum("den")).alias("pd"))
+    curves = sums.join(checked_broadcast(points, len(features) * n), "at").select("feature", "i", "g", "b", "pd")
 
     # features x (B + 1) x grid rows: small, and read by every branch below
     curves = cut_lineage(curves)
@@ -178,18 +223,14 @@ def threshold_ci(base: DataFrame, features: Sequence[str], scorer, key: str, n:
                                               F.col("y_star").alias("pd_at_thr"))
     boots = st.filter(F.col("b") >= 0).select("feature", "b", F.col("x_star").alias("xb"))
 
-    # ECDF of the base values at the full threshold and at each replicate threshold
-    thr_map = boots.groupBy("feature").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("b", "xb"))), lambda s: s["xb"]).alias("xs")) \
-        .join(full.select("feature", "thr_unit"), "feature")
+    # ECDF of the base values at every threshold that occurs: grid points, so at most n + 1 a feature
+    at = full.select("feature", F.col("thr_unit").alias("x")).unionByName(boots.select("feature", F.col("xb").alias("x"))).distinct()
     long = base.select(*features).unpivot([], list(features), "feature", "value")
-    lj = long.join(checked_broadcast(thr_map, len(features)), "feature")   # one row per feature
-    ecdf_aggs = [F.avg(F.when(F.col("value") <= F.col("thr_unit"), 1.0).otherwise(0.0)).alias("thr_quantile")]
-    ecdf_aggs += [F.avg(F.when(F.col("value") <= F.element_at("xs", b + 1), 1.0).otherwise(0.0)).alias(f"_e{b}")
-                  for b in range(B)]
-    ec = lj.groupBy("feature").agg(*ecdf_aggs)
-    ec_long = ec.select("feature", "thr_quantile",
-                        F.explode(F.array(*[F.col(f"_e{b}") for b in range(B)])).alias("value"))
+    ecdf = long.join(checked_broadcast(at, len(features) * (n + 2)), "feature").groupBy("feature", "x") \
+        .agg(F.avg(F.when(F.col("value") <= F.col("x"), 1.0).otherwise(0.0)).alias("q"))
+    ecdf = cut_lineage(ecdf)
+    ec = full.join(ecdf.withColumnRenamed("x", "thr_unit"), ["feature", "thr_unit"]).select("feature", F.col("q").alias("thr_quantile"))
+    ec_long = boots.join(ecdf.withColumnRenamed("x", "xb"), ["feature", "xb"]).select("feature", F.col("q").alias("value"))
     # B values per feature (a parameter-sized table): the built-in exact percentile suffices
     q_ci = quantiles_long(ec_long.select("feature", "value"), [0.025, 0.975], by=["feature"],
                           method="percentile")
@@ -211,28 +252,22 @@ def permutation_importance(base: DataFrame, features: Sequence[str], scorer, key
     """Drop in average precision when one feature is shuffled, ``repeats``
     times -> (feature, importance_mean, importance_std) (population std).
 
-    A shuffle is a join on positions: the row at position i in key order
-    takes the value of the row at position i in hash order
-    ``u(seed, repeat, feature, key)``; positions come from ``ordered``.
+    A repeat is one permutation for all features, as the usual implementation seeds
+    each feature alike: the row at position i in key order takes each feature, one at
+    a time, from the row at position ``bijection(i)``.  Rows are ordered once; a repeat
+    costs one row per row in the shuffle that fetches donors.
     """
     feats = list(features)
-    keyed = ordered(base.select(key), [(key, True)], sample_id=F.col(key)) \
-        .select(key, F.col("_rn").alias("pos"))
-    reps = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("rep"))
-                     for f in feats for r in range(repeats)])
-    donors = base.select(key, *feats, F.inline(reps))
-    donors = donors.withColumn("value", F.coalesce(*[F.when(F.col("feature") == f, F.col(f).cast("double"))
-                                                     for f in feats])) \
-        .withColumn("_u", hash_uniform(seed, F.col("rep"), F.col("feature"), F.col(key)))
-    don = ordered(donors.select("feature", "rep", key, "_u", "value"), [("_u", True), (key, True)],
-                  within=["feature", "rep"], sample_id=F.col(key), group_bound=len(feats) * repeats) \
-        .select("feature", "rep", F.col("_rn").alias("pos"), F.col("value").alias("perm_value"))
-    tgt = base.join(keyed, key).select("*", F.inline(reps))
-    j = tgt.join(don, ["feature", "rep", "pos"])
-    over = {f: F.when(F.col("feature") == f, F.col("perm_value").cast(base.schema[f].dataType))
-                .otherwise(F.col(f)) for f in feats}
-    s = scorer.score(j, over)
-    perm = auc_ap(s, "prob", label, by=["feature", "rep"]).select("feature", "rep", "average_precision")
+    cols = list(dict.fromkeys([*scorer.features, *feats]))
+    placed = cut_lineage(ordered(base.select(key, label, *cols), [(key, True)], sample_id=F.col(key))
+                         .select((F.col("_rn") - 1).alias("pos"), label, *cols))
+    total = placed.count()
+    donors = placed.select(F.col("pos").alias("donor"), *[F.col(f).alias(f"_d_{f}") for f in feats])
+    rows = placed.select("*", F.posexplode(donor_positions(F.col("pos"), total, seed, repeats)).alias("rep", "donor"))
+    j = scorer.with_variants(rows.join(donors, "donor"), [{f: F.col(f"_d_{f}")} for f in feats], "_probs")
+    names = F.array(*[F.lit(f) for f in feats])
+    long = j.select("rep", label, F.posexplode("_probs").alias("_i", "prob")).withColumn("feature", F.get(names, F.col("_i")))
+    perm = auc_ap(long, "prob", label, by=["feature", "rep"]).select("feature", "rep", "average_precision")
     ref = auc_ap(scorer.score(base), "prob", label).select(F.col("average_precision").alias("ap_base"))
     perm = perm.withColumn("ap_base", ref.select("ap_base").scalar())
     imp = perm.withColumn("imp", F.col("ap_base") - F.col("average_precision"))

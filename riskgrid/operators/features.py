@@ -43,12 +43,15 @@ def impute(df: DataFrame, feats: Sequence[str], monthwise: bool = False,
     medians have at most 12 rows per year in the data and are broadcast to
     a left join on the month; a month whose feature is all null stays null.
     """
+    return apply_medians(df, fit_median(df, feats, [month_col] if monthwise else [], method), feats, monthwise, month_col)
+
+
+def apply_medians(df: DataFrame, med: DataFrame, feats: Sequence[str], monthwise: bool = False, month_col: str = "month") -> DataFrame:
+    """Fill nulls from fitted medians, one row or one per month."""
     if not monthwise:
-        med = fit_median(df, feats, method=method)
         get = lookup(med, [], [f"{f}_median" for f in feats])
         return df.withColumns({f: F.coalesce(F.col(f), get(f"{f}_median").cast(df.schema[f].dataType))
                                for f in feats})
-    med = fit_median(df, feats, by=[month_col], method=method)
     joined = df.join(checked_broadcast(med, 12), on=month_col, how="left")   # calendar months
     out = joined.withColumns({f: F.coalesce(F.col(f), F.col(f"{f}_median").cast(df.schema[f].dataType))
                               for f in feats})

@@ -1,12 +1,11 @@
-"""Boosted-tree model operators on ``pyspark.ml``: class weight column (D9),
-fit (J1), small grid selected by precision@k over both calibrators (J2),
-scoring (J5, C8), evaluation of (calibrator, split) pairs (J6), persistence
-(A10), prediction export (A11), the node table of the fitted trees and
+"""Boosted-tree model operators: class weight column (D9), fits on ``pyspark.ml``
+and on ``operators.boosting`` (J1), the small grid selected by precision@k over both
+calibrators (J2), scoring (J5, C8), evaluation of (calibrator, split) pairs (J6),
+persistence (A10), prediction export (A11), the node table of the fitted trees and
 path-dependent tree contributions (J7), and the explainer fallback (J15)."""
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,10 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskgrid.operators.calibrate import IsotonicCalibrator, SigmoidCalibrator
+from riskgrid.operators import boosting
+from riskgrid.operators.boosting import BoostedTrees
+from riskgrid.operators.calibrate import (IsotonicCalibrator, SigmoidCalibrator, apply_isotonic, apply_sigmoid, fit_isotonic,
+                                          fit_sigmoid)
 from riskgrid.operators.curves import metrics
 from riskgrid.operators.ranking import precision_recall_at_k
-from riskgrid.session import ensure_checkpoint_dir
+from riskgrid.session import cut_lineage, ensure_checkpoint_dir
 
 
 def with_class_weight(train: DataFrame, label: str = "label", weight: str = "w") -> DataFrame:
@@ -52,6 +54,8 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "label", max
 
 def score(model, df: DataFrame, features: Sequence[str], out: str = "prob") -> DataFrame:
     """P(class 1) from the probability vector (raw prediction otherwise)."""
+    if isinstance(model, BoostedTrees):
+        return model.score(df, out)
     res = model.transform(assemble(df, features))
     p = vector_to_array("probability")[1] if "probability" in res.columns else F.col("prediction")
     return res.withColumn(out, p.cast("double")).drop("features", "rawPrediction", "probability", "prediction")
@@ -80,47 +84,53 @@ def evaluate(scored: DataFrame, ks: Sequence[int], key: str, label: str = "label
     return metrics(scored, "prob", label, by), precision_recall_at_k(scored, ks, "prob", label, key, by)
 
 
-def grid_select(train: DataFrame, val: DataFrame, features: Sequence[str], key: str,
-                anchor_k: int, depths=(3, 4), rates=(0.03, 0.05), label: str = "label",
-                max_iter: int = 10, seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """Fit every grid point, calibrate both ways on validation, score by
-    precision@anchor_k (best of the two); the first best wins.
-    -> (max_depth, step_size, p_at_k_iso, p_at_k_sig, score, selected).
+def grid_select(train: DataFrame, val: DataFrame, features: Sequence[str], key: str, anchor_k: int,
+                points: Sequence[boosting.Point] | None = None, label: str = "label", n_trees: int = 2000, patience: int = 100,
+                block: int = 10, seed: int = 42) -> tuple[DataFrame, BoostedTrees]:
+    """Fit every grid point, cut each to its best prefix on validation, calibrate both ways there,
+    and score by precision@anchor_k (the better of the two); the first best point wins.
 
-    The class weight is computed once for the grid; grid points are fitted
-    concurrently (``parallelism`` driver threads submitting Spark jobs, as
-    ``TrainValidationSplit(parallelism=...)`` does), and each point's
-    validation scores are written once, then read by both calibrators and
-    the precision@k pass instead of re-running the trees per consumer.
+    All points are fitted together (``boosting.fit_grid``), scored in one pass, and calibrated and
+    ranked as groups of one table, so the number of jobs does not follow the number of points.
+    -> (one row per point with ``selected``, the winner).
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from riskgrid.session import cut_lineage
-    train_w = with_class_weight(train, label)
-    grid = list(itertools.product(depths, rates))
-
-    def run(point):
-        md, lr = point
-        m = fit_gbt(train_w, features, label, md, max_iter, lr, seed=seed)
-        sv = cut_lineage(score(m, val, features, "prob_raw"))
-        res = {}
-        for name, cal in (("iso", IsotonicCalibrator("prob_raw", label)),
-                          ("sig", SigmoidCalibrator("prob_raw", label))):
-            c = cal.fit(sv).transform(sv, "prob")
-            r = precision_recall_at_k(c, [anchor_k], "prob", label, key).first()
-            res[name] = float(r["precision"])
-        return (md, lr, res["iso"], res["sig"], max(res.values()))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(int(parallelism), len(grid)))) as pool:
-        rows = list(pool.map(run, grid))
-    best = max(range(len(rows)), key=lambda i: (rows[i][4], -i))
-    data = [(*r, i == best) for i, r in enumerate(rows)]
-    return train.sparkSession.createDataFrame(
-        data, "max_depth int, step_size double, p_at_k_iso double, p_at_k_sig double, score double, selected boolean")
+    points = list(points or boosting.grid())
+    models = boosting.fit_grid(train, val, features, points, key, label, n_trees, patience, block, seed=seed)
+    raw = cut_lineage(score_all(models, val, key, label))
+    both = apply_isotonic(raw, fit_isotonic(raw, "prob_raw", label, ["point"]), "prob_raw", "prob", ["point"]).withColumn("calibrator", F.lit("iso")) \
+        .unionByName(apply_sigmoid(raw, fit_sigmoid(raw, "prob_raw", label, ["point"]), "prob_raw", "prob", ["point"])
+                     .withColumn("calibrator", F.lit("sig")))
+    at_k = precision_recall_at_k(cut_lineage(both), [anchor_k], "prob", label, key, ["point", "calibrator"]).collect()  # two rows per point
+    found = {(r["point"], r["calibrator"]): float(r["precision"]) for r in at_k}
+    rows = []
+    for i, (p, m) in enumerate(zip(points, models)):
+        iso, sig = found.get((i, "iso"), 0.0), found.get((i, "sig"), 0.0)
+        rows.append((p.max_depth, p.min_child_weight, p.reg_lambda, p.learning_rate, len(m.trees), m.val_ap[-1] if m.val_ap else None,
+                     iso, sig, max(iso, sig)))
+    best = max(range(len(rows)), key=lambda i: (rows[i][-1], -i))
+    table = train.sparkSession.createDataFrame(
+        [(*r, i == best) for i, r in enumerate(rows)],
+        "max_depth int, min_child_weight double, reg_lambda double, learning_rate double, n_trees int, val_ap double, "
+        "p_at_k_iso double, p_at_k_sig double, score double, selected boolean")
+    return table, models[best]
+
+
+def score_all(models: Sequence[BoostedTrees], df: DataFrame, key: str, label: str = "label") -> DataFrame:
+    """(point, key, label, prob_raw): every row under every model, one pass."""
+    shipped, feats = list(models), models[0].features
+
+    @F.pandas_udf("array<double>")
+    def probs(x: pd.DataFrame) -> pd.Series:
+        x = x.to_numpy(dtype=float)
+        return pd.Series(list(np.column_stack([1 / (1 + np.exp(-m.margin(x))) for m in shipped])))
+    cols = F.struct(*[F.col(f).cast("double").alias(f) for f in feats])
+    return df.select(key, label, F.posexplode(probs(cols)).alias("point", "prob_raw"))
 
 
 def save_model(model, path: str) -> str:
-    """A10: persist with the ML writer (overwrite)."""
+    """A10: persist with the ML writer (overwrite), or the node table of a ``BoostedTrees``."""
+    if isinstance(model, BoostedTrees):
+        return boosting.save(model, path, _session())
     model.write().overwrite().save(path)
     return path
 
@@ -139,6 +149,8 @@ def export_predictions(scored: DataFrame, path: str, key: str, label: str = "lab
 def node_table(model: GBTClassificationModel) -> pd.DataFrame:
     """Nodes of all trees from the saved model: (tree, id, left, right, feature,
     threshold, value, cover, weight).  Size: trees x nodes, a model parameter."""
+    if isinstance(model, BoostedTrees):
+        return model.nodes()
     ss = _session()
     path = f"{ensure_checkpoint_dir(ss).rstrip('/')}/models/gbt-{model.uid}"
     save_model(model, path)
@@ -178,7 +190,7 @@ def _leaf_paths(nodes: pd.DataFrame):
     return out
 
 
-def tree_contributions(df: DataFrame, model: GBTClassificationModel, features: Sequence[str],
+def tree_contributions(df: DataFrame, model: GBTClassificationModel | BoostedTrees, features: Sequence[str],
                        key: str, log_odds: bool = True) -> DataFrame:
     """Exact path-dependent tree contributions per row -> long
     (key, feature, value, shap) plus a ``__base__`` row per key.
@@ -192,7 +204,8 @@ def tree_contributions(df: DataFrame, model: GBTClassificationModel, features: S
     closure.  Contributions are in log-odds units (2F for Spark GBT).
     """
     leaves = _leaf_paths(node_table(model))
-    scale = 2.0 if log_odds else 1.0
+    own = isinstance(model, BoostedTrees)
+    scale = 2.0 if log_odds and not own else 1.0
     feats = list(features)
     nf = len(feats)
     from math import factorial
@@ -212,7 +225,8 @@ def tree_contributions(df: DataFrame, model: GBTClassificationModel, features: S
                     for fidx, thr, go_left, ratio in path:
                         if s_mask >> uniq.index(fidx) & 1:
                             xv = X[:, fidx]
-                            g = g * ((xv <= thr) if go_left else (xv > thr))
+                            left = ~(xv > thr) if own else xv <= thr  # where nulls go
+                            g = g * (left if go_left else ~left)
                         else:
                             g = g * ratio
                     ind[s_mask] = g
@@ -238,11 +252,12 @@ def tree_contributions(df: DataFrame, model: GBTClassificationModel, features: S
 
 
 def explain_importance(df: DataFrame, model, features: Sequence[str], key: str, scorer=None,
-                       label: str = "label") -> tuple[str, DataFrame]:
-    """Tree contributions when the model is a tree ensemble, otherwise
-    permutation importance with the given scorer."""
+                       label: str = "label", repeats: int = 5, seed: int = 42) -> tuple[str, DataFrame]:
+    """(method, importance).  Tree contributions of a tree ensemble; permutation importance of
+    any other model or scorer."""
+    from riskgrid.functions.scorer import ModelScorer
     from riskgrid.operators.explain import mean_abs, permutation_importance
-    if isinstance(model, GBTClassificationModel):
+    if isinstance(model, (GBTClassificationModel, BoostedTrees)):
         return "tree_contributions", mean_abs(tree_contributions(df, model, features, key)
                                               .filter(F.col("feature") != "__base__"))
-    return "permutation_importance", permutation_importance(df, features, scorer, key, label)
+    return "permutation_importance", permutation_importance(df, features, scorer or ModelScorer(model, features), key, label, repeats, seed)

@@ -183,6 +183,12 @@ def stratified_density(df: DataFrame, cols: Sequence[str], label: str = "label",
         (F.col("neg_count") / (F.max("neg_count").over(g) + F.lit(1e-12))).alias("neg_density"))
 
 
+def group_sizes(df: DataFrame, groupby: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows per group (null group kept), as groups, smallest, mean and largest size."""
+    sizes = df.groupBy(*by, *groupby).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("groups"), F.min("n").alias("least"), F.avg("n").alias("mean"), F.max("n").alias("most"))
+
+
 def profile(df: DataFrame, features: Sequence[str], bins: int = 50) -> dict[str, DataFrame]:
     """Missing report, describe, histogram and box stats of all rows."""
     return {"missing": missing_report(df), "describe": describe(df, features),

@@ -4,9 +4,12 @@ C6) and the k-th largest score (G6).
 
 Every order is ``prob desc, key asc`` so ties break reproducibly.  Global
 top-k is ``orderBy().limit()`` (``TakeOrderedAndProject``: each task keeps a
-k-row heap); per-group top-k is ``row_number() <= k`` (``WindowGroupLimit``,
-which also runs map-side before the shuffle, so a hot group moves at most k
-rows per task).  Totals come from one aggregation over all rows.
+k-row heap).  Top-k per split or calibrator, few groups with many rows each, first
+finds a score that at least k rows of the group reach (``reached_scores``) and drops
+all rows below it; what ties leave over is cut to k rows per task group before the
+groups meet, so no task gets k rows from every task.  Top-k of many small groups is
+``row_number() <= k`` (``WindowGroupLimit``, which also runs map-side).  Totals come
+from one aggregation over all rows.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ def lookup(small: DataFrame, by: Sequence[str], values: Sequence[str]) -> Callab
         # a single key column is the map key itself (struct keys only when needed)
         def k(cols):
             return cols[0] if len(cols) == 1 else F.struct(*cols)
-        m = small.select(F.map_from_entries(F.collect_list(
+        known = small.filter(F.col(by[0]).isNotNull()) if len(by) == 1 else small  # a null group has no entry
+        m = known.select(F.map_from_entries(F.collect_list(
             F.struct(k([F.col(c) for c in by]).alias("k"), val.alias("v"))))).scalar()
         s = F.element_at(m, k([F.col(c) for c in by]))
     else:
@@ -59,8 +63,42 @@ def top_rows(scored: DataFrame, k: int, prob: str = "prob", key: str = "key",
         top = scored.orderBy(*order_desc(prob, key)).limit(int(k))
         # at most k rows: the window below is bounded by the parameter
         return top.withColumn("rn", F.row_number().over(Window.orderBy(*order_desc(prob, key))))
+    best = prune_to_top(scored, k, prob, key, by)
     w = Window.partitionBy(*by).orderBy(*order_desc(prob, key))
-    return scored.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= int(k))
+    return best.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= int(k))
+
+
+LADDER = 40  # candidate scores per group: its 1 - 2^-j quantiles
+TASK_GROUPS = 64
+
+
+def reached_scores(scored: DataFrame, k: int, prob: str, by: Sequence[str]) -> DataFrame:
+    """(by..., reached): the highest candidate score that at least ``k`` rows of the group
+    reach; no row for a group with fewer.
+
+    Candidates are quantiles from a mergeable sketch, whose error only makes the
+    candidate worse: the rows that reach each are counted."""
+    by = list(by)
+    ladder = [1 - 2.0 ** -j for j in range(LADDER)]
+    cand = scored.groupBy(*by).agg(F.percentile_approx(F.col(prob).cast("double"), ladder, 10_000).alias("c"))
+    get = lookup(cand, by, ["c"])
+    hits = scored.groupBy(*by).agg(*[F.count_if(F.col(prob) >= F.element_at(get("c"), j + 1)).alias(f"_n{j}") for j in range(LADDER)],
+                                   F.first(get("c")).alias("c"))
+    ok = F.filter(F.array(*[F.struct(F.element_at("c", j + 1).alias("s"), F.col(f"_n{j}").alias("n")) for j in range(LADDER)]),
+                  lambda x: x["n"] >= int(k))
+    return hits.select(*by, F.array_max(F.transform(ok, lambda x: x["s"])).alias("reached"))
+
+
+def prune_to_top(scored: DataFrame, k: int, prob: str, key: str, by: Sequence[str]) -> DataFrame:
+    """Rows that hold the best ``k`` of every group and few others.  ``by`` is a bounded set of groups
+    (splits, calibrators, grid points)."""
+    by = list(by)
+    get = lookup(reached_scores(scored, k, prob, by), by, ["reached"])
+    reached = get("reached")
+    near = scored.filter(reached.isNull() | (F.col(prob) >= reached))
+    w = Window.partitionBy(*by, "_tg").orderBy(*order_desc(prob, key))
+    return near.withColumn("_tg", F.spark_partition_id() % TASK_GROUPS).withColumn("_tr", F.row_number().over(w)) \
+        .filter(F.col("_tr") <= int(k)).drop("_tg", "_tr")
 
 
 def cum_gain(scored: DataFrame, k: int, prob: str = "prob", label: str = "label",

@@ -11,10 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgrid.functions.exprs import hash_uniform
+from riskgrid.operators.neighbours import knn
 from riskgrid.plans.ordering import ordered
 from riskgrid.session import cut_lineage
 
@@ -46,12 +47,9 @@ def numbered(df: DataFrame, key: str) -> DataFrame:
     return r.withColumn("idx", F.col("_rn") - 1).withColumnRenamed("_rn_total", "cnt").drop("_rn")
 
 
-def draws(counts: DataFrame, how_many: Column, seed: int, tag: str) -> DataFrame:
-    """Draw table ``j = 0 .. how_many - 1`` derived from a one-row count table,
-    with three hash uniforms ``u1, u2, u3`` per draw (none when how_many <= 0)."""
-    seq = F.when(how_many > 0, F.sequence(F.lit(0).cast("long"), (how_many - 1).cast("long"))) \
-        .otherwise(F.array().cast("array<bigint>"))
-    d = counts.select(F.explode(seq).alias("j"))
+def draws(spark: SparkSession, how_many: int, seed: int, tag: str) -> DataFrame:
+    """Draws ``j = 0 .. how_many - 1`` with three hash uniforms ``u1, u2, u3`` each, made in as many tasks as the session has."""
+    d = spark.range(max(0, how_many)).select(F.col("id").alias("j"))
     return d.select("j", *[hash_uniform(seed, F.lit(tag), F.col("j"), t).alias(f"u{t}") for t in (1, 2, 3)])
 
 
@@ -59,98 +57,12 @@ def oversample(minority: DataFrame, target: int, seed: int, key: str) -> DataFra
     """H5: ``target - P`` extra rows drawn with replacement from the minority
     (row ``floor(u1 P)`` in key order); returns the drawn rows with ``j``."""
     num = numbered(minority, key)
-    cnt = minority.agg(F.count(F.lit(1)).alias("P"))
-    d = draws(cnt, F.lit(int(target)) - F.col("P"), seed, "oversample")
     P = minority.count()      # one scalar: the size of the index range
+    d = draws(minority.sparkSession, int(target) - P, seed, "oversample")
     d = d.withColumn("idx", F.floor(F.col("u1") * F.lit(P)).cast("long"))
     return d.join(num.drop("cnt"), "idx").drop("u1", "u2", "u3")
 
 
-# ---- exact k nearest neighbours -------------------------------------------------
-def _directions(d: int, m: int = 3) -> list[list[float]]:
-    """``m`` fixed unit directions with distinct weights (few projection ties)."""
-    out = []
-    for j in range(m):
-        w = [1.0 + ((i * 0.6180339887498949 + j * 0.4142135623730951) % 1.0) * (1 if (i + j) % 2 else -1)
-             for i in range(d)]
-        s = math.sqrt(sum(x * x for x in w))
-        out.append([x / s for x in w])
-    return out
-
-
-def _dist(a: str, b: str, feats: Sequence[str]) -> Column:
-    acc = None
-    for f in feats:
-        t = F.pow(F.col(f"{a}.{f}") - F.col(f"{b}.{f}"), 2)
-        acc = t if acc is None else acc + t
-    return F.sqrt(acc)
-
-
-def knn(points: DataFrame, feats: Sequence[str], key: str, k: int = 5, max_rounds: int = 40) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by key) of every point
-    among the others -> (key, nn_rank, nn_key, dist).
-
-    No cross join.  Points are projected on 3 unit directions (each
-    ``|s_a - s_b| <= dist(a, b)``) and binned with width ``w``; a point is
-    joined with the 27 bins around it, i.e. every point inside a box of
-    half-width ``w`` in projection space, which contains the ball of radius
-    ``w``.  A point whose k-th candidate distance is ``<= w`` is exact and
-    done; the others go to the next round with ``w`` doubled.  Pairs are
-    emitted only inside the box, so the work follows the local density, not
-    the square of the class size.  Requires more than ``k`` points.
-    """
-    dirs = _directions(len(feats))
-    proj = []
-    for j, d in enumerate(dirs):
-        e = None
-        for wi, f in zip(d, feats):
-            t = F.col(f).cast("double") * F.lit(wi)
-            e = t if e is None else e + t
-        proj.append(e.alias(f"_s{j}"))
-    pts = cut_lineage(points.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f) for f in feats],
-                                    *proj))
-    st = pts.agg(*[F.min(f"_s{j}").alias(f"lo{j}") for j in range(3)],
-                 *[F.max(f"_s{j}").alias(f"hi{j}") for j in range(3)], F.count(F.lit(1)).alias("n")).first()
-    n = int(st["n"])
-    span = max(st[f"hi{j}"] - st[f"lo{j}"] for j in range(3)) or 1.0
-    w = span * (max(k, 1) / max(n, 1)) ** (1.0 / 3.0)      # expected k-neighbour box at uniform density
-    todo, done, finished = pts, None, False
-    for _ in range(max_rounds):
-        last = w >= span
-        bins_b = [F.floor(F.col(f"_s{j}") / F.lit(w)).cast("long").alias(f"_b{j}") for j in range(3)]
-        qb = pts.select("_key", *feats, *[f"_s{j}" for j in range(3)], *bins_b)
-        qa = todo.select("_key", *feats, *[f"_s{j}" for j in range(3)])
-        for j in range(3):
-            c = F.floor(F.col(f"_s{j}") / F.lit(w)).cast("long")
-            qa = qa.withColumn(f"_b{j}", F.explode(F.array(c - 1, c, c + 1)))
-        cond = [F.col("a._key") != F.col("b._key")]
-        pairs = qa.alias("a").join(qb.alias("b"), [f"_b{j}" for j in range(3)])
-        for j in range(3):
-            cond.append(F.abs(F.col(f"a._s{j}") - F.col(f"b._s{j}")) <= F.lit(w))
-        c_all = cond[0]
-        for c in cond[1:]:
-            c_all = c_all & c
-        cand = pairs.filter(c_all).select(F.col("a._key").alias(key), F.col("b._key").alias("nn_key"),
-                                          _dist("a", "b", feats).alias("dist"))
-        wn = Window.partitionBy(key).orderBy("dist", "nn_key")
-        top = cand.withColumn("nn_rank", F.row_number().over(wn)).filter(F.col("nn_rank") <= k)
-        ok = top.groupBy(key).agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_m"))
-        if last:
-            good = ok.select(key)       # the box now spans every point: exact for all
-        else:
-            good = ok.filter((F.col("_c") == k) & (F.col("_m") <= F.lit(w))).select(key)
-        res = cut_lineage(top.join(good, key, "left_semi").select(key, "nn_rank", "nn_key", "dist"))
-        done = res if done is None else done.unionByName(res)
-        todo = cut_lineage(todo.join(res.select(F.col(key).alias("_key")).distinct(), "_key", "left_anti"))
-        finished = last or todo.isEmpty()
-        if finished:
-            break
-        w *= 2.0
-    if not finished:
-        raise RuntimeError(f"neighbours of some points are still open after {max_rounds} rounds")
-    return done
-
-
 def smote(minority: DataFrame, feats: Sequence[str], target: int, seed: int, key: str,
           k: int = 5) -> DataFrame:
     """H4: ``target - P`` synthetic rows ``x + u (nn - x)``.
@@ -165,14 +77,14 @@ def smote(minority: DataFrame, feats: Sequence[str], target: int, seed: int, key
     if P == 1:
         return oversample(minority, target, seed, key).select("j", *feats)
     kk = min(k, P - 1)
-    minority = cut_lineage(minority.select(key, *feats))
-    nn = cut_lineage(knn(minority, feats, key, kk))
-    num = numbered(minority.select(key, *feats), key)
-    cnt = minority.agg(F.count(F.lit(1)).alias("P"))
-    d = draws(cnt, F.lit(int(target)) - F.col("P"), seed, "smote") \
+    num = cut_lineage(numbered(minority.select(key, *feats), key))
+    d = draws(minority.sparkSession, int(target) - P, seed, "smote") \
         .withColumn("idx", F.floor(F.col("u1") * F.lit(P)).cast("long")) \
         .withColumn("nn_rank", (F.floor(F.col("u2") * F.lit(kk)) + 1).cast("int"))
-    base = d.join(num.select("idx", F.col(key).alias("_bk"), *[F.col(f).alias(f"x_{f}") for f in feats]), "idx")
+    base = cut_lineage(d.join(num.select("idx", F.col(key).alias("_bk"), *[F.col(f).alias(f"x_{f}") for f in feats]), "idx"))
+    # only drawn rows look for neighbours
+    drawn = num.join(base.select("idx").distinct(), "idx", "left_semi")
+    nn = knn(num, feats, key, kk, queries=drawn)
     pick = base.join(nn.select(F.col(key).alias("_bk"), "nn_rank", "nn_key"), ["_bk", "nn_rank"])
     nbr = num.select(F.col(key).alias("nn_key"), *[F.col(f).alias(f"n_{f}") for f in feats])
     full = pick.join(nbr, "nn_key")

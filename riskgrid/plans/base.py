@@ -23,8 +23,9 @@ GROUP_KS = (5, 10, 20)
 GROUP_BY = ("month", "grid_id")
 EVAL_SPLITS = ("val", "test")
 BALANCE_N = 1000
-PD_GRID = 10
-BOOT_B = 20
+PD_GRID = 40
+PD2_GRID = 25
+BOOT_B = 200
 BOOT_FRAC = 0.8
 SEED = 42
 SAMPLE_N = 5000
@@ -78,13 +79,14 @@ def train_positives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.filter((F.col("split") == "train") & (F.col("label") == 1)).select(KEY, *KNN_FEATURES)
 
 
-PD_FEATURES = ["f_qty", "f_disc", "f_tax"]
+PD_FEATURES = ["f_qty", "f_price", "f_disc", "f_tax"]
+SCORE_INPUTS = ["f_qty", "f_disc", "f_tax"]
 
 
 def pd_scorer():
     """The closed-form scorer as a ``ColumnScorer`` over its three inputs."""
     from riskgrid.functions.scorer import ColumnScorer
-    return ColumnScorer(lambda c: logistic_score(c["f_qty"], c["f_disc"], c["f_tax"]), PD_FEATURES)
+    return ColumnScorer(lambda c: logistic_score(c["f_qty"], c["f_disc"], c["f_tax"]), SCORE_INPUTS)
 
 
 def pd_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +94,7 @@ def pd_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).filter(F.col("split") == "val")
 
 
+GRID_TREES = 40
 MODEL_PARAMS = dict(max_depth=4, max_iter=20, step_size=0.1, subsample=0.8)
 _MODELS: dict = {}
 
@@ -113,3 +116,18 @@ def fitted_model(spark: SparkSession, sf_dir: str):
         mf = stage_table(spark, "model_frame", sf_dir, lambda: model_frame(spark, sf_dir))
         _MODELS[key] = (fit_gbt(mf.filter(F.col("split") == "train"), KNN_FEATURES, **MODEL_PARAMS), mf)
     return _MODELS[key]
+
+
+_SELECTED: dict = {}
+
+
+def selected_model(spark: SparkSession, sf_dir: str):
+    """The grid's table and winner (once per application and input), and the model frame."""
+    from riskgrid.operators.model import grid_select
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SELECTED:
+        mf = stage_table(spark, "model_frame", sf_dir, lambda: model_frame(spark, sf_dir))
+        table, model = grid_select(mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"), KNN_FEATURES, KEY,
+                                   ANCHOR_K, n_trees=GRID_TREES)
+        _SELECTED[key] = (table, model, mf)
+    return _SELECTED[key]

@@ -336,10 +336,11 @@ def q_balance_counts(spark, sf):
 
 # ---------------------------------------------------------------- explain
 from riskgrid.operators import explain  # noqa: E402
+from riskgrid.session import stage_table  # noqa: E402
 
 
 def _pd1(spark, sf):
-    return explain.pd_1d(B.pd_base(spark, sf), B.PD_FEATURES, B.pd_scorer(), n=B.PD_GRID)
+    return stage_table(spark, "pd_curves", sf, lambda: explain.pd_1d(B.pd_base(spark, sf), B.PD_FEATURES, B.pd_scorer(), n=B.PD_GRID))
 
 
 @register("pd_1d")
@@ -359,7 +360,8 @@ def q_detect_thresholds(spark, sf):
 
 
 def _pd2(spark, sf):
-    return explain.pd_2d(B.pd_base(spark, sf), explain.pairs(B.PD_FEATURES), B.pd_scorer(), n=B.PD_GRID)
+    return stage_table(spark, "pd_surfaces", sf, lambda: explain.pd_2d(B.pd_base(spark, sf), explain.pairs(B.PD_FEATURES), B.pd_scorer(),
+                                                                       n=B.PD2_GRID))
 
 
 @register("pd_2d")
@@ -391,7 +393,6 @@ def q_permutation_importance(spark, sf):
 
 # ---------------------------------------------------------------- models (rows-only checks)
 from riskgrid.operators import model as M  # noqa: E402
-from riskgrid.session import stage_table  # noqa: E402
 
 
 def _cal(spark, sf):
@@ -442,9 +443,9 @@ def q_shap_importance(spark, sf):
 
 def _explained(spark, sf):
     """The fitted model as a scorer and the validation rows it explains."""
-    from riskgrid.functions.scorer import ModelScorer
+    from riskgrid.functions.scorer import TreeScorer
     m, mf = B.fitted_model(spark, sf)
-    return mf.filter(F.col("split") == "val"), ModelScorer(m, B.KNN_FEATURES)
+    return mf.filter(F.col("split") == "val"), TreeScorer(m, B.KNN_FEATURES)
 
 
 @register("pd_1d_model")
@@ -456,7 +457,14 @@ def q_pd_1d_model(spark, sf):
 @register("pd_2d_model")
 def q_pd_2d_model(spark, sf):
     val, scorer = _explained(spark, sf)
-    return r6(explain.pd_2d(val, explain.pairs(FEATURES), scorer, n=B.PD_GRID))
+    return r6(explain.pd_2d(val, explain.pairs(FEATURES), scorer, n=B.PD2_GRID))
+
+
+@register("bootstrap_model")
+def q_bootstrap_model(spark, sf):
+    """J11 on the fitted model."""
+    val, scorer = _explained(spark, sf)
+    return r6(explain.threshold_ci(val, FEATURES, scorer, KEY, n=B.PD_GRID, replicates=B.BOOT_B, frac=B.BOOT_FRAC, seed=B.SEED))
 
 
 @register("permutation_model")
@@ -467,15 +475,29 @@ def q_permutation_model(spark, sf):
 
 @register("grid_select")
 def q_grid_select(spark, sf):
-    _, mf = B.fitted_model(spark, sf)
-    return r6(M.grid_select(mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "val"),
-                            B.KNN_FEATURES, KEY, B.ANCHOR_K, max_iter=5))
+    return r6(B.selected_model(spark, sf)[0])
+
+
+def _selected_scores(spark, sf):
+    _, m, mf = B.selected_model(spark, sf)
+    return stage_table(spark, "selected", sf, lambda: M.calibrated_scores(
+        m, mf.filter(F.col("split") == "val"), mf.filter(F.col("split") == "test"), B.KNN_FEATURES))
+
+
+@register("selected_precision")
+def q_selected_precision(spark, sf):
+    """Precision and recall at each k of both calibrators of the grid's winner."""
+    return r6(M.evaluate(_selected_scores(spark, sf), B.KS, KEY)[1])
 
 
 @register("fit_report")
 def q_fit_report(spark, sf):
     from riskgrid.plans.workflow import fit_report
-    cal = _cal(spark, sf)
+    _, m, mf = B.selected_model(spark, sf)
+    cal = _selected_scores(spark, sf)
     val_iso = cal.filter((F.col("calibrator") == "iso") & (F.col("split") == "val"))
-    pol = policy.derive(val_iso, B.PRIMARY_Q, B.ANCHOR_K, key=KEY)
-    return r6(fit_report(cal, pol, "tree_contributions", B.TAIL_Q, B.TAIL_BINS).drop("operating_point"))
+    pol = policy.derive(val_iso, B.PRIMARY_Q, B.ANCHOR_K, key=KEY, clip_floor=1e-15)
+    method, importance = M.explain_importance(mf.filter(F.col("split") == "val"), m, B.KNN_FEATURES, KEY)
+    report = fit_report(cal, pol, method, explain.top_features(importance, 10), B.TAIL_Q, B.TAIL_BINS)
+    point = report.select("*", "operating_point.*").drop("operating_point")
+    return r6(point.withColumn("top", F.array_join("top", ",")))

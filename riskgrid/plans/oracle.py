@@ -8,6 +8,8 @@ CTEs.  Same tie-break everywhere: ``prob desc, obs_key asc``; time order
 
 from __future__ import annotations
 
+from riskgrid.functions.permute import round_keys
+
 OBS = """
 obs AS (
   SELECT concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
@@ -368,12 +370,12 @@ def _qlist(qs) -> str:
     return "[" + ", ".join(repr(float(q)) for q in qs) + "]"
 
 
-_PDQ = [0.01 + (0.99 - 0.01) * i / 9 for i in range(10)]
+_PDQ = [0.01 + (0.99 - 0.01) * i / 39 for i in range(40)]
 SQL["quantile_grid"] = f"""WITH {CLEAN},
 long AS (SELECT * FROM ({_long("clean")}) WHERE value IS NOT NULL AND NOT isnan(value)),
 qa AS (SELECT feature, quantile_cont(value, {_qlist(_PDQ)}) AS qv FROM long GROUP BY feature)
 SELECT feature, CAST(i - 1 AS INTEGER) AS q_idx, round(ql[i], 6) AS q, round(qv[i], 6) AS quantile
-FROM qa, (SELECT {_qlist(_PDQ)} AS ql), range(1, 11) AS r(i)"""
+FROM qa, (SELECT {_qlist(_PDQ)} AS ql), range(1, 41) AS r(i)"""
 
 SQL["ecdf_at"] = f"""WITH {CLEAN},
 long AS ({_long("clean")}),
@@ -566,7 +568,7 @@ UNION ALL SELECT CAST(1 AS TINYINT), false, least(pos, n) FROM n
 UNION ALL SELECT CAST(1 AS TINYINT), true, n - pos FROM n WHERE pos < n"""
 
 # ---------------------------------------------------------------- explain
-PD_F = ["f_qty", "f_disc", "f_tax"]
+PD_F = ["f_qty", "f_price", "f_disc", "f_tax"]
 
 
 def _score(q: str = "f_qty", d: str = "f_disc", t: str = "f_tax") -> str:
@@ -579,7 +581,7 @@ def _score_with(feat: str, expr: str) -> str:
     return _score(args["f_qty"], args["f_disc"], args["f_tax"])
 
 
-_PD2Q = [0.05 + (0.95 - 0.05) * i / 9 for i in range(10)]
+_PD2Q = [0.05 + (0.95 - 0.05) * i / 24 for i in range(25)]
 PD_BASE = SCORED + f""",
 val AS (SELECT * FROM scored WHERE split = 'val'),
 grid AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, quantile_cont({f}, {_qlist(_PDQ)}) AS grid FROM val" for f in PD_F)}),
@@ -587,13 +589,13 @@ grid2 AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, quantile_cont({f}, {_ql
 pd AS ({" UNION ALL ".join(
     f"SELECT '{f}' AS feature, CAST(r.i - 1 AS INTEGER) AS i, g.grid[r.i] AS g, "
     f"avg({_score_with(f, 'g.grid[r.i]')}) AS pd "
-    f"FROM val, grid g, range(1, 11) AS r(i) WHERE g.feature = '{f}' GROUP BY r.i, g.grid[r.i]" for f in PD_F)})"""
+    f"FROM val, grid g, range(1, 41) AS r(i) WHERE g.feature = '{f}' GROUP BY r.i, g.grid[r.i]" for f in PD_F)})"""
 
 
 def _grad_sql(src: str, by: str) -> str:
     """Gradient CTEs over ``src(by..., x, y)`` after collapsing equal x."""
     return f"""
-col AS (SELECT {by}, x, min(y) AS y FROM {src} GROUP BY {by}, x),
+col AS (SELECT {by}, x, round(min(y), 9) AS y FROM {src} GROUP BY {by}, x),
 gw AS (
   SELECT *, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY {by}) AS n,
          lag(x) OVER w AS xm, lead(x) OVER w AS xp, lag(y) OVER w AS ym, lead(y) OVER w AS yp
@@ -626,7 +628,7 @@ SELECT gr.feature, round(gr.x, 6) AS x, round(gr.y, 6) AS pd, 'slope_peak/edge'
 FROM gr JOIN st USING (feature)
 WHERE st.j_star IS NOT NULL AND gr.j BETWEEN st.j_star - 1 AND st.j_star + 1"""
 
-_PAIRS = [("f_qty", "f_disc"), ("f_qty", "f_tax"), ("f_disc", "f_tax")]
+_PAIRS = [(a, b) for i, a in enumerate(PD_F) for b in PD_F[i + 1:]]
 
 
 def _score_with2(f1: str, e1: str, f2: str, e2: str) -> str:
@@ -640,7 +642,7 @@ surf AS ({" UNION ALL ".join(
     f"SELECT '{a}' AS f1, '{b}' AS f2, CAST(r1.i - 1 AS INTEGER) AS i1, CAST(r2.i - 1 AS INTEGER) AS i2, "
     f"ga.grid[r1.i] AS g1, gb.grid[r2.i] AS g2, "
     f"avg({_score_with2(a, 'ga.grid[r1.i]', b, 'gb.grid[r2.i]')}) AS pd "
-    f"FROM val, grid2 ga, grid2 gb, range(1, 11) AS r1(i), range(1, 11) AS r2(i) "
+    f"FROM val, grid2 ga, grid2 gb, range(1, 26) AS r1(i), range(1, 26) AS r2(i) "
     f"WHERE ga.feature = '{a}' AND gb.feature = '{b}' "
     f"GROUP BY r1.i, r2.i, ga.grid[r1.i], gb.grid[r2.i]" for a, b in _PAIRS)}),
 delta AS (SELECT f1, f2, max(pd) - min(pd) AS delta FROM surf GROUP BY f1, f2)"""
@@ -666,11 +668,11 @@ def _poisson_sql(u: str, lam: float = 0.8, kmax: int = 20) -> str:
 SQL["bootstrap_threshold_ci"] = f"""WITH {PD_BASE},
 wt AS (
   SELECT obs_key, b, {_poisson_sql(_u("'42'", "'boot'", "CAST(b AS VARCHAR)", "obs_key"))} AS w
-  FROM val, range(0, 20) AS rb(b)),
+  FROM val, range(0, 200) AS rb(b)),
 sc AS ({" UNION ALL ".join(
     f"SELECT '{f}' AS feature, r.i - 1 AS i, g.grid[r.i] AS x, val.obs_key, "
     f"{_score_with(f, 'g.grid[r.i]')} AS p "
-    f"FROM val, grid g, range(1, 11) AS r(i) WHERE g.feature = '{f}'" for f in PD_F)}),
+    f"FROM val, grid g, range(1, 41) AS r(i) WHERE g.feature = '{f}'" for f in PD_F)}),
 curves AS (
   SELECT feature, -1 AS b, i, x, avg(p) AS y FROM sc GROUP BY feature, i, x
   UNION ALL
@@ -705,23 +707,39 @@ def _ap_sql(src: str, by: str) -> str:
   GROUP BY {by})"""
 
 
-SQL["permutation_importance"] = f"""WITH {SCORED},
+# the bijection of functions.permute, one step per recursion; its keys are constants
+_P = 2147483647
+
+
+def _perm_hash(src: str) -> str:
+    t0 = f"(({src} % {_P} * k0 + k1) % {_P})"
+    t1 = f"(({t0} * {t0} + k2) % {_P})"
+    return f"(({t1} * xor(k0, k2) + k1) % {_P})"
+
+
+_PERM_KEYS = ", ".join(f"({rep}, {j}, {k0}::BIGINT, {k1}::BIGINT, {k2}::BIGINT)" for rep in range(5)
+                       for j, (k0, k1, k2) in enumerate(round_keys(42, rep)))
+SQL["permutation_importance"] = f"""WITH RECURSIVE {SCORED},
 val AS (SELECT *, 1 AS one FROM scored WHERE split = 'val'),
-pk AS (SELECT obs_key, row_number() OVER (ORDER BY obs_key) AS pos FROM val),
-reps AS (SELECT feature, rep FROM (VALUES ('f_qty'), ('f_disc'), ('f_tax')) AS f(feature), range(0, 5) AS r(rep)),
-don AS (
-  SELECT r.feature, r.rep,
-         CASE r.feature WHEN 'f_qty' THEN v.f_qty WHEN 'f_disc' THEN v.f_disc ELSE v.f_tax END AS value,
-         row_number() OVER (PARTITION BY r.feature, r.rep
-                            ORDER BY {_u("'42'", "CAST(r.rep AS VARCHAR)", "r.feature", "v.obs_key")}, v.obs_key) AS pos
-  FROM val v, reps r),
-tgt AS (SELECT v.*, k.pos, r.feature, r.rep FROM val v JOIN pk k USING (obs_key), reps r),
+placed AS (SELECT *, row_number() OVER (ORDER BY obs_key) - 1 AS pos FROM val),
+dim AS (SELECT count(*) AS n, floor(sqrt(count(*) - 1))::BIGINT + 1 AS a FROM val),
+dims AS (SELECT n, a, CASE WHEN n % a = 0 THEN n // a ELSE n // a + 1 END AS b FROM dim),
+keys(rep, j, k0, k1, k2) AS (VALUES {_PERM_KEYS}),
+walk(rep, pos, l, r, j) AS (
+  SELECT rep, pos, pos // b, pos % b, 0 FROM placed, dims, range(0, 5) AS reps(rep)
+  UNION ALL
+  SELECT w.rep, w.pos, CASE WHEN w.j % 2 = 0 THEN (w.l + {_perm_hash("w.r")}) % a ELSE w.l END,
+         CASE WHEN w.j % 2 = 1 THEN (w.r + {_perm_hash("w.l")}) % b ELSE w.r END, w.j + 1
+  FROM walk w JOIN keys k ON k.rep = w.rep AND k.j = w.j % 6, dims
+  WHERE NOT (w.j > 0 AND w.j % 6 = 0 AND w.l * b + w.r < n)),
+moved AS (SELECT rep, pos, l * b + r AS donor FROM walk, dims WHERE j > 0 AND j % 6 = 0 AND l * b + r < n),
+feats(feature) AS (VALUES ('f_qty'), ('f_price'), ('f_disc'), ('f_tax')),
 perm AS (
-  SELECT t.feature, t.rep, t.label,
-         {_score("CASE WHEN t.feature = 'f_qty' THEN d.value ELSE t.f_qty END",
-                 "CASE WHEN t.feature = 'f_disc' THEN d.value ELSE t.f_disc END",
-                 "CASE WHEN t.feature = 'f_tax' THEN d.value ELSE t.f_tax END")} AS prob
-  FROM tgt t JOIN don d ON d.feature = t.feature AND d.rep = t.rep AND d.pos = t.pos),
+  SELECT f.feature, m.rep, t.label,
+         {_score("CASE WHEN f.feature = 'f_qty' THEN d.f_qty ELSE t.f_qty END",
+                 "CASE WHEN f.feature = 'f_disc' THEN d.f_disc ELSE t.f_disc END",
+                 "CASE WHEN f.feature = 'f_tax' THEN d.f_tax ELSE t.f_tax END")} AS prob
+  FROM placed t JOIN moved m USING (pos) JOIN placed d ON d.pos = m.donor, feats f),
 ap_perm AS {_ap_sql("perm", "feature, rep")},
 ap_base AS {_ap_sql("val", "one")}
 SELECT feature, round(avg(b.ap - p.ap), 6) AS importance_mean, round(stddev_pop(b.ap - p.ap), 6) AS importance_std

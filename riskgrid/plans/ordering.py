@@ -6,11 +6,12 @@ rows (and accumulates sums) inside each bucket with an ordinary partitioned
 window, and adds the totals of all earlier buckets of the same group from a
 small offsets table (one row per group x bucket).
 
-Bucket boundaries are taken from a deterministic hash sample of the rows and
-turned into a balanced CASE tree (``log2(B)`` comparisons per row), so a
-row's bucket is a pure function of its values: every branch of the plan and
-every recomputation after a lost executor agree on it.  (A physical range
-partition would not: Spark samples its input in arrival order, which is not
+Bucket boundaries come from a deterministic hash sample whose size follows the
+number of buckets, not of rows or tasks, and are picked from it in one task: the
+driver gets one list.  A row finds its bucket by a binary search in that list, held
+as one literal, so a row's bucket is a pure function of its values: every branch of
+the plan and every recomputation after a lost executor agree on it.  (A physical
+range partition would not: Spark samples its input in arrival order, which is not
 stable after a shuffle.)
 
 The order must be unique within each group (add the key as the last sort
@@ -68,29 +69,35 @@ def bucket_bounds(df: DataFrame, keys: list[Column], sample_id: Column,
                   n_buckets: int | None = None) -> list[tuple]:
     """Boundaries of ~equal-count buckets from a bounded deterministic sample.
 
-    One small job: the ``n_buckets x SAMPLE_PER_BUCKET`` rows with the
-    smallest ``xxhash64(sample_id)`` (a top-k heap per task, no count needed);
-    only those key tuples reach the driver.  Fewer sampled rows than asked
-    means the input is small and one bucket is enough.
+    The rows are counted; those whose ``xxhash64(sample_id)`` lies below a threshold
+    that lets about ``2 n_buckets SAMPLE_PER_BUCKET`` through, however many tasks
+    hold them, are sorted in one task, which picks the boundaries.  Few rows make one
+    bucket.
     """
     if n_buckets is None:
         n_buckets = 2 * shuffle_partitions(df.sparkSession)
     n_buckets = max(1, min(MAX_BUCKETS, int(n_buckets)))
-    if n_buckets == 1:
-        return []
     want = n_buckets * SAMPLE_PER_BUCKET
-    names = [f"_k{i}" for i in range(len(keys))]
-    rows = (df.select(*[k.alias(nm) for k, nm in zip(keys, names)],
-                      F.xxhash64(sample_id).alias("_h"))
-              .orderBy("_h").limit(want).collect())
-    if len(rows) < want:
+    total = df.count() if n_buckets > 1 else 0
+    if total < want or n_buckets == 1:
         return []
-    tuples = sorted((tuple(r)[:-1] for r in rows),
-                    key=lambda t: tuple((v is not None, v) for v in t))
-    step = len(tuples) / n_buckets
-    return sorted({tuples[min(len(tuples) - 1, int(round(i * step)))]
-                   for i in range(1, n_buckets)},
-                  key=lambda t: tuple((v is not None, v) for v in t))
+    share = int(min(1.0, 2.0 * want / total) * (1 << 53))
+    near = df.filter(F.pmod(F.xxhash64(sample_id), F.lit(1 << 53)) <= F.lit(share)) \
+        .select(F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).alias("k"))
+    size = F.size("s")
+    every = F.transform(F.sequence(F.lit(1), F.lit(n_buckets - 1)),
+                        lambda i: F.get("s", F.least(size - 1, F.floor(i * size / n_buckets).cast("int"))))
+    picked = near.agg(F.array_sort(F.collect_list("k")).alias("s")).filter(size >= n_buckets).select(every.alias("b")).first()
+    return list(dict.fromkeys(tuple(r) for r in picked["b"])) if picked else []
+
+
+def bucketed(df: DataFrame, columns: Sequence[str], bounds: list[tuple] | None = None) -> tuple[DataFrame, list[tuple]]:
+    """``df`` with the bucket ``_bkt`` of each row in the order of ``columns``, and the boundaries
+    (or those given)."""
+    keys = [F.col(c) for c in columns]
+    if bounds is None:
+        bounds = bucket_bounds(df, keys, F.concat_ws("|", *[k.cast("string") for k in keys]))
+    return df.withColumn("_bkt", _bucket_expr(df, keys, bounds).cast("int") if bounds else F.lit(0)), bounds
 
 
 def ordered(df: DataFrame, order: Sequence[tuple[str, bool]],

@@ -87,6 +87,16 @@ def write_lineage(df) -> str:
     return path
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a hand-over table that nothing reads any more.  Only paths below the
+    checkpoint folder are deleted."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{root}/tables/"):
+        raise ValueError(f"not a hand-over table: {path}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return the re-read table.

@@ -75,6 +75,13 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> str:
     return path
 
 
+def write_json(spark: SparkSession, path: str, record: dict) -> str:
+    """One JSON document."""
+    import json
+    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 META_SCHEMA = T.StructType([
     T.StructField("config", T.MapType(T.StringType(), T.StringType())),
     T.StructField("classification_target", T.StringType()),

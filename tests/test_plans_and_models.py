@@ -122,7 +122,7 @@ def test_histogram_plan_compiles_whole_stage(spark):
 def test_grid_select_one_winner(spark):
     from __spark_entry__ import queries
     g = queries()["grid_select"](spark, SF001).toPandas()
-    assert len(g) == 4 and int(g["selected"].sum()) == 1
+    assert len(g) == 16 and (g["n_trees"] >= 1).all() and int(g["selected"].sum()) == 1
     assert ((g["score"] >= 0) & (g["score"] <= 1)).all()
     assert np.allclose(g["score"], g[["p_at_k_iso", "p_at_k_sig"]].max(axis=1))
     win = g[g["selected"]].index[0]
