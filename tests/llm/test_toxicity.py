@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 from conftest import SF001
-from riskgrid.llm.toxicity_fm import drop_toxic, fit, slots_of, toxicity, train
+from riskgrid.llm.toxicity_fm import Machine, drop_toxic, fit, slots_of, toxicity, train
 
 
 def test_machine_learns_an_interaction():
@@ -21,6 +21,18 @@ def test_machine_learns_an_interaction():
     assert say("insult group n1 n2") > 0.5 > max(say("insult n1 n2"), say("group n1 n2"), say(""))
 
 
+def test_score_is_the_sum_over_all_pairs():
+    """The linear-time score against weights and every pair's product, written out."""
+    rng = np.random.default_rng(3)
+    kept = np.sort(rng.choice(1 << 12, 60, replace=False))
+    m = Machine(-0.3, kept, rng.normal(size=60), rng.normal(size=(60, 4)) / 4)
+    for n in (0, 1, 2, 30):
+        slots = np.sort(np.concatenate([rng.choice(kept, n, replace=False), np.setdiff1d(rng.choice(1 << 12, 20), kept)]))
+        at = [i for i, s in enumerate(kept) if s in slots]
+        z = m.w0 + sum(m.w[i] for i in at) + sum(float(m.v[i] @ m.v[j]) for a, i in enumerate(at) for j in at[a + 1:])
+        assert abs(m.score(slots) - 1 / (1 + np.exp(-z))) < 1e-12
+
+
 def test_rows_without_a_slot():
     none, one = np.empty(0, np.int32), np.array([0], np.int32)
     m = fit([(0, none)] * 640 + [(1, one)] * 64, np.array([3]))
