@@ -29,7 +29,8 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
 
 def downsample(df: DataFrame, label: str, n: int, seed: int, key: str,
                classes: Sequence[int] = (0, 1)) -> DataFrame:
-    """H3: at most ``n`` rows of every class, by hash order.
+    """H3: at most ``n`` rows of every class of ``classes``, by hash order; rows
+    of other classes, and without a class, are left out.
 
     One ``orderBy().limit()`` per class of the (bounded) class list, so the
     majority class is reduced with per-task heaps instead of one window task.

@@ -303,7 +303,7 @@ FROM clean LEFT JOIN med USING (month)"""
 
 SQL["month_dummies"] = f"""WITH {CLEAN}
 SELECT obs_key, CAST(month AS INTEGER) AS month,
-       {", ".join(f"CAST(month = {m} AS TINYINT) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
+       {", ".join(f"coalesce(CAST(month = {m} AS TINYINT), 0) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
 FROM clean"""
 
 
@@ -330,7 +330,7 @@ imp AS (
   SELECT obs_key, month, {", ".join(f"coalesce({f}, m_{f}) AS {f}" for f in FEATS)} FROM clean, med),
 p AS (SELECT {", ".join(f"min({f}) AS lo_{f}, max({f}) - min({f}) AS rg_{f}" for f in FEATS)} FROM imp)
 SELECT obs_key, {", ".join(f"round(({f} - lo_{f}) / {_nz(f'rg_{f}')}, 6) AS {f}" for f in FEATS)},
-       {", ".join(f"CAST(month = {m} AS TINYINT) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
+       {", ".join(f"coalesce(CAST(month = {m} AS TINYINT), 0) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
 FROM imp, p"""
 
 SQL["class_weight"] = f"""WITH {SPLIT}
@@ -510,7 +510,7 @@ mm AS (SELECT {", ".join(f"min({f}) AS lo_{f}, max({f}) - min({f}) AS rg_{f}" fo
 prep AS (
   SELECT obs_key, split, label,
          {", ".join(f"({f} - lo_{f}) / {_nz(f'rg_{f}')} AS {f}" for f in FEATS)},
-         {", ".join(f"CAST(month = {m} AS TINYINT) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
+         {", ".join(f"coalesce(CAST(month = {m} AS TINYINT), 0) AS mon_{m:02d}" for m in (5, 6, 7, 8))}
   FROM imp, mm),
 pos AS (SELECT * FROM prep WHERE split = 'train' AND label = 1),
 knn AS (

@@ -7,6 +7,7 @@ folder is read from the session so that a cluster's shared folder wins.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -26,7 +27,8 @@ _DEFAULT_CONF = {
     # explicit hints go through ``checked_broadcast``
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    # checkpoint files of dropped DataFrames are removed by the context cleaner
+    # files of checkpoint() calls go with their DataFrames; hand-over tables are
+    # deleted by ``drop_table`` and, what is left, when the application ends
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -78,11 +80,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_ENDS: set[str] = set()  # applications whose tables are deleted at the end
+
+
+def _drop_all(spark: SparkSession, path: str) -> None:
+    try:
+        drop_table(spark, path)
+    except Exception:  # the JVM has ended before: the folder stays, named after the application
+        pass
+
+
+def table_folder(spark: SparkSession) -> str:
+    """This application's folder of hand-over tables, deleted when the driver ends."""
+    app = spark.sparkContext.applicationId
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{app}"
+    if app not in _ENDS:
+        _ENDS.add(app)
+        atexit.register(_drop_all, spark, path)
+    return path
+
+
 def write_lineage(df) -> str:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return its path (see ``cut_lineage``)."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{table_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return path
 
