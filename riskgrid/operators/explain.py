@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskgrid.functions.exprs import TWO_POW_32, linspace
+from riskgrid.functions.exprs import TWO_POW_52, linspace
 from riskgrid.functions.permute import donor_positions
 from riskgrid.operators.curves import auc_ap
 from riskgrid.operators.sampling import poisson_cdf
@@ -112,7 +112,7 @@ def gradient(curve: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") ->
     after collapsing repeated x values -> (by..., j, x, y, n, grad).  y is cut to
     9 decimals, so that a flat curve is flat in whatever order it was summed.
 
-    Interior: ``(a^2 y+ + (b^2 - a^2) y - b^2 y-) / (a b (a + b))``; ends:
+    Interior: ``(a^2 (y+ - y) + b^2 (y - y-)) / (a b (a + b))``; ends:
     one-sided differences.  The curve has a parameter-bounded number of
     points per group, so the windows here are small by construction.
     """
@@ -125,7 +125,7 @@ def gradient(curve: DataFrame, by: Sequence[str], x: str = "x", y: str = "y") ->
                  F.lag("y").over(w).alias("ym"), F.lead("y").over(w).alias("yp"))
     a = F.col("x") - F.col("xm")
     b = F.col("xp") - F.col("x")
-    interior = (a * a * F.col("yp") + (b * b - a * a) * F.col("y") - b * b * F.col("ym")) / (a * b * (a + b))
+    interior = (a * a * (F.col("yp") - F.col("y")) + b * b * (F.col("y") - F.col("ym"))) / (a * b * (a + b))
     grad = (F.when(F.col("n") < 2, F.lit(None).cast("double"))
              .when(F.col("j") == 0, (F.col("yp") - F.col("y")) / (F.col("xp") - F.col("x")))
              .when(F.col("j") == F.col("n") - 1, (F.col("y") - F.col("ym")) / (F.col("x") - F.col("xm")))
@@ -173,8 +173,8 @@ def _replicate_sums(replicates: int, frac: float, seed: int):
     salts = [f"{seed}|boot|{b}|".encode() for b in range(replicates)]
 
     def weights(keys: list[bytes]) -> np.ndarray:
-        draw = b"".join(hashlib.md5(s + k).digest()[:4] for s in salts for k in keys)
-        u = np.frombuffer(draw, ">u4").astype(float) / TWO_POW_32
+        draw = b"".join(hashlib.md5(s + k).digest()[:8] for s in salts for k in keys)
+        u = (np.frombuffer(draw, ">u8") >> np.uint64(12)).astype(float) / TWO_POW_52
         return np.searchsorted(cdf, u, side="left").reshape(replicates, len(keys)).astype(float)
 
     def rows(batches):

@@ -94,7 +94,7 @@ def pd_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).filter(F.col("split") == "val")
 
 
-GRID_TREES = 40
+GRID_TREES = 25
 MODEL_PARAMS = dict(max_depth=4, max_iter=20, step_size=0.1, subsample=0.8)
 _MODELS: dict = {}
 

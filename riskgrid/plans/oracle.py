@@ -495,9 +495,9 @@ FROM g"""
 
 # ---------------------------------------------------------------- sampling
 def _u(*parts: str) -> str:
-    """Hash uniform of parts joined by '|' (md5, first 8 hex digits / 2^32)."""
+    """Hash uniform of parts joined by '|' (md5, first 13 hex digits / 2^52)."""
     s = "concat_ws('|', " + ", ".join(parts) + ")"
-    return f"(CAST(('0x' || substr(md5({s}), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(('0x' || substr(md5({s}), 1, 13)) AS BIGINT) / 4503599627370496::DOUBLE)"
 
 
 KNN_F = FEATS + ["mon_05", "mon_06", "mon_07", "mon_08"]
@@ -605,8 +605,7 @@ gr AS (
          CASE WHEN n < 2 THEN NULL
               WHEN j = 0 THEN (yp - y) / (xp - x)
               WHEN j = n - 1 THEN (y - ym) / (x - xm)
-              ELSE ((x - xm) * (x - xm) * yp + ((xp - x) * (xp - x) - (x - xm) * (x - xm)) * y
-                    - (xp - x) * (xp - x) * ym) / ((x - xm) * (xp - x) * ((x - xm) + (xp - x))) END AS grad
+              ELSE ((x - xm) * (x - xm) * (yp - y) + (xp - x) * (xp - x) * (y - ym)) / ((x - xm) * (xp - x) * ((x - xm) + (xp - x))) END AS grad
   FROM gw),
 st AS (
   SELECT {by}, j AS j_star, x AS x_star, y AS y_star FROM (
