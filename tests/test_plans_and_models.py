@@ -119,8 +119,11 @@ def test_histogram_plan_compiles_whole_stage(spark):
     assert "BroadcastHashJoin" in _plan(h) or "BroadcastExchange" in _plan(h)
 
 
-def test_grid_select_one_winner(spark):
+def test_grid_select_one_winner(spark, monkeypatch):
     from __spark_entry__ import queries
+    from riskgrid.plans import base as B
+    monkeypatch.setattr(B, "GRID_TREES", 6)
+    monkeypatch.setattr(B, "_SELECTED", {})
     g = queries()["grid_select"](spark, SF001).toPandas()
     assert len(g) == 16 and (g["n_trees"] >= 1).all() and int(g["selected"].sum()) == 1
     assert ((g["score"] >= 0) & (g["score"] <= 1)).all()
