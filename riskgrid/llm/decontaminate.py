@@ -7,11 +7,14 @@
 2. Windows: in those texts, every window of the item's size, at whatever start,
    that holds so many shared shingles, with the SimHash of its shingles.  The
    order of the shared shingles plays no part, as it plays none in the
-   similarity, so no window that can reach ``least`` is left out.
+   similarity, so no window that can reach ``least`` is left out.  A window
+   carries the item whose shingles it holds.
 3. Multi-index Hamming blocks: 64 bits in 8 blocks; fingerprints within 23 bits
    agree in some block up to 2 flips.  Items are indexed under every key within
-   2 flips of each block, so windows of the item's size look up 8 exact keys
-   and meet every item within the radius.
+   2 flips of each block, so a window looks up 8 exact keys and meets its item
+   whenever that is within the radius.  At this radius the block keys of any two
+   fingerprints meet often, so the item is part of the key: a window meets the
+   items of the screen, not all of its size.
 4. Verify: exact similarity sum(min) / sum(max) over shingle counts.  At
    similarity 0.8 fingerprints differ in some 10 bits of 64 (standard deviation
    3), far inside the radius.
@@ -20,8 +23,9 @@ Words are lower-cased runs of digits, letters and non-ASCII characters, so
 symbols and case cannot hide a passage.  Shingles have five words (an item with
 fewer words is one shingle).  Only DataFrame functions are used.
 
-Null text counts as empty; empty items match nothing.  Rows with a null id are
-checked like any other.  Repeated rows and items give one pair per (id, item).
+Null text counts as empty; empty items match nothing.  Rows and items with a null
+id are checked like any other.  Items of the same words are searched once and each
+gets its pairs.  Repeated rows and items give one pair per (id, item).
 Empty tables give empty results.  Extra columns are carried by
 ``drop_contaminated`` and ignored elsewhere.
 """
@@ -37,7 +41,7 @@ from .common import alnum_words, cut_lineage, free_names, text_or_empty
 
 BLOCKS, BLOCK_BITS, RADIUS = 8, 8, 23
 BROADCAST_SHINGLES = 500_000
-SLICE = 32  # window starts a row holds at once
+SLICE = 32  # window starts a row holds at once; words are cut for one such row at a time
 
 
 def _shingle_hashes(word_hashes: Column, k: int) -> Column:
@@ -104,12 +108,18 @@ def _key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("string"), F.lit("\u0000"))
 
 
-def item_table(items: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+def item_table(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(item_id, item, iw) of the items that have words; ``item`` names the words."""
     return (items.select(F.col(id_col).alias("item_id"), alnum_words(text_or_empty(text_col)).alias("iw"))
-            .withColumn("size", F.size("iw")).filter("size > 0")
-            .withColumn("k", F.least("size", F.lit(shingle)))
+            .filter(F.size("iw") > 0).distinct().withColumn("item", F.sha2(F.array_join("iw", " "), 256)))
+
+
+def passage_table(members: DataFrame, shingle: int) -> DataFrame:
+    """One row per different item: its words' hashes, shingles and fingerprint."""
+    return (members.select("item", "iw").dropDuplicates(["item"])
+            .withColumn("size", F.size("iw")).withColumn("k", F.least("size", F.lit(shingle)))
             .withColumn("ish", _shingles(F.col("iw"), shingle)).withColumn("ifp", simhash(F.col("ish")))
-            .withColumn("iwh", F.transform("iw", lambda x: F.xxhash64(x))))
+            .withColumn("iwh", F.transform("iw", lambda x: F.xxhash64(x))).drop("iw"))
 
 
 def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -117,12 +127,13 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     """(kid, th, id, item_id, similarity, start_word, n_words, distance): every
     row of ``docs`` and item for which a window reaches ``least``, with the best
     window.  (kid, th) name the row: its id as text and a hash of its text."""
-    table = cut_lineage(item_table(items, item_id, item_text, shingle))
+    members = cut_lineage(item_table(items, item_id, item_text))
+    table = cut_lineage(passage_table(members, shingle))
     sizes = [r["k"] for r in table.select("k").distinct().collect()]  # at most ``shingle`` values
-    parts = [table.filter(F.col("k") == k).select("item_id", "size", "k", F.posexplode(_shingle_hashes(F.col("iwh"), k)).alias("tpos", "h"))
+    parts = [table.filter(F.col("k") == k).select("item", "size", "k", F.posexplode(_shingle_hashes(F.col("iwh"), k)).alias("tpos", "h"))
              for k in sizes]
     if not parts:
-        kinds = {f.name: f.dataType.simpleString() for f in [docs.schema[id_col], table.schema["item_id"]]}
+        kinds = {f.name: f.dataType.simpleString() for f in [docs.schema[id_col], members.schema["item_id"]]}
         return docs.sparkSession.createDataFrame(
             [], f"kid string, th bigint, id {kinds[id_col]}, item_id {kinds['item_id']}, similarity double,"
                 " start_word int, n_words int, distance int")
@@ -143,38 +154,38 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     # what any window that reaches ``least`` has in common with the item, at least
     enough = F.ceil(F.lit(least) * (F.col("size") - F.col("k") + 1)).cast("int")
     hits = (grams.join(probes, ["k", "h"])
-            .groupBy("kid", "th", "item_id", "size", "k", "n")
+            .groupBy("kid", "th", "item", "size", "k", "n")
             .agg(F.size(F.collect_set("tpos")).alias("at"), F.sort_array(F.collect_set("pos")).alias("spots"))
             .withColumn("enough", enough).filter(F.col("at") >= F.col("enough")))
-    # rows of at most SLICE starts; each start of a (text, size) once, however many items it may hold
-    windows = cut_lineage(hits.select("kid", "th", "size", F.explode(_starts(
+    # rows of at most SLICE starts
+    windows = cut_lineage(hits.select("kid", "th", "item", "size", F.explode(_starts(
         F.col("spots"), F.col("size") - F.col("k") + 1, F.col("enough"), F.greatest(F.col("n") - F.col("size"), F.lit(0)))).alias("start"))
-        .groupBy("kid", "th", "size", F.floor(F.col("start") / SLICE).cast("int").alias("part")).agg(F.collect_set("start").alias("starts"))
-        .groupBy("kid", "th").agg(F.collect_list(F.struct("size", "part", "starts")).alias("wins")))
+        .groupBy("kid", "th", "item", "size", F.floor(F.col("start") / SLICE).cast("int").alias("part")).agg(F.collect_set("start").alias("starts"))
+        .groupBy("kid", "th").agg(F.collect_list(F.struct("item", "size", "part", "starts")).alias("wins")))
 
     cut = (docs.select(_key(id_col).alias("kid"), F.col(id_col).alias("id"), text.alias("t"), F.xxhash64(text).alias("th"))
            .join(windows, ["kid", "th"])
            .select("kid", "th", "id", "wins", alnum_words(F.col("t")).alias("w"))
-           .select("kid", "th", "id", F.explode(F.transform("wins", lambda x: F.struct(
-               x["size"].alias("size"), x["part"].alias("part"), x["starts"].alias("starts"),
-               F.slice("w", x["part"] * SLICE + 1, x["size"] + SLICE - 1).alias("w")))).alias("x"))
-           .select("kid", "th", "id", "x.size", "x.part", "x.w", F.explode("x.starts").alias("start"))
-           .select("kid", "th", "id", "size", "start",
+           .select("kid", "th", "id", "w", F.explode("wins").alias("x"))
+           .select("kid", "th", "id", "x.item", "x.size", "x.part", "x.starts",
+                   F.slice("w", F.col("x.part") * SLICE + 1, F.col("x.size") + SLICE - 1).alias("w"))
+           .select("kid", "th", "id", "item", "size", "part", "w", F.explode("starts").alias("start"))
+           .select("kid", "th", "id", "item", "size", "start",
                    _shingles(F.slice("w", F.col("start") - F.col("part") * SLICE + 1, F.col("size")), shingle).alias("sh"))
            .withColumn("fp", simhash(F.col("sh"))))
     most = RADIUS // BLOCKS
     flips = [sum(1 << i for i in c) for r in range(most + 1) for c in combinations(range(BLOCK_BITS), r)]
     # the index holds keys and fingerprints; shingles join the few survivors
-    index = table.select("item_id", "size", "ifp", F.explode(_index(F.col("ifp"), flips)).alias("e"))
-    near = (cut.withColumn("e", F.explode(_index(F.col("fp"), [0]))).join(index, ["size", "e"])
+    index = table.select("item", "ifp", F.explode(_index(F.col("ifp"), flips)).alias("e"))
+    near = (cut.withColumn("e", F.explode(_index(F.col("fp"), [0]))).join(index, ["item", "e"])
             .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))).cast("int"))
             .filter(F.col("distance") <= RADIUS)
-            .dropDuplicates(["kid", "th", "start", "size", "item_id", "ifp"])
-            .join(table.select("item_id", "ifp", "ish").distinct(), ["item_id", "ifp"])
+            .dropDuplicates(["kid", "th", "start", "item"])
+            .join(table.select("item", "ish"), "item")
             .withColumn("similarity", weighted_similarity(F.col("sh"), F.col("ish")))
             .filter(F.col("similarity") >= least))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), F.col("size").alias("n"), (-F.col("distance")).alias("d")))
-    return (near.groupBy("kid", "th", "id", "item_id").agg(best.alias("b"))
+    return (near.groupBy("kid", "th", "id", "item").agg(best.alias("b")).join(members.select("item", "item_id"), "item")
             .select("kid", "th", "id", "item_id", "b.similarity", (-F.col("b.s")).alias("start_word"),
                     F.col("b.n").alias("n_words"), (-F.col("b.d")).alias("distance")))
 

@@ -77,3 +77,12 @@ def test_given_tables_against_brute_force(spark):
     want = brute([(r.doc_id, r.text) for r in docs.collect() if len(r.text) < 1200], [(r.item_id, r.text) for r in items.limit(40).collect()])
     got = {(r["id"], r["item_id"]) for r in leaked_passages(docs.filter("length(text) < 1200"), items.limit(40)).collect()}
     assert want and got == set(want)
+
+
+def test_items_of_the_same_words_and_without_an_id(spark):
+    items = [(1, ITEM), (1, ITEM), (2, ITEM.upper() + "!"), (None, ITEM), (3, "one two three"), (3, ITEM)]
+    docs = [(1, "x " * 9 + ITEM), (2, "one two three"), (3, "nothing")]
+    got = [tuple(r) for r in leaked_passages(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                             spark.createDataFrame(items, "item_id bigint, text string"))
+           .select("id", "item_id", "similarity", "start_word").collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, 1.0, 9), (1, 2, 1.0, 9), (1, 3, 1.0, 9), (1, None, 1.0, 9), (2, 3, 1.0, 0)], key=str)
