@@ -109,14 +109,15 @@ def _key(id_col: str) -> Column:
 
 
 def item_table(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, item, iw) of the items that have words; ``item`` names the words."""
+    """(item_id, key, iw) of the items that have words; ``key`` names the words."""
     return (items.select(F.col(id_col).alias("item_id"), alnum_words(text_or_empty(text_col)).alias("iw"))
-            .filter(F.size("iw") > 0).distinct().withColumn("item", F.sha2(F.array_join("iw", " "), 256)))
+            .filter(F.size("iw") > 0).distinct().withColumn("key", F.sha2(F.array_join("iw", " "), 256)))
 
 
 def passage_table(members: DataFrame, shingle: int) -> DataFrame:
-    """One row per different item: its words' hashes, shingles and fingerprint."""
-    return (members.select("item", "iw").dropDuplicates(["item"])
+    """One row per different item: a number (fixed once written), its words'
+    hashes, shingles and fingerprint."""
+    return (members.select("key", "iw").dropDuplicates(["key"]).withColumn("item", F.monotonically_increasing_id())
             .withColumn("size", F.size("iw")).withColumn("k", F.least("size", F.lit(shingle)))
             .withColumn("ish", _shingles(F.col("iw"), shingle)).withColumn("ifp", simhash(F.col("ish")))
             .withColumn("iwh", F.transform("iw", lambda x: F.xxhash64(x))).drop("iw"))
@@ -129,6 +130,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     window.  (kid, th) name the row: its id as text and a hash of its text."""
     members = cut_lineage(item_table(items, item_id, item_text))
     table = cut_lineage(passage_table(members, shingle))
+    members = members.join(table.select("key", "item"), "key").select("item", "item_id")
     sizes = [r["k"] for r in table.select("k").distinct().collect()]  # at most ``shingle`` values
     parts = [table.filter(F.col("k") == k).select("item", "size", "k", F.posexplode(_shingle_hashes(F.col("iwh"), k)).alias("tpos", "h"))
              for k in sizes]
@@ -185,7 +187,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             .withColumn("similarity", weighted_similarity(F.col("sh"), F.col("ish")))
             .filter(F.col("similarity") >= least))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), F.col("size").alias("n"), (-F.col("distance")).alias("d")))
-    return (near.groupBy("kid", "th", "id", "item").agg(best.alias("b")).join(members.select("item", "item_id"), "item")
+    return (near.groupBy("kid", "th", "id", "item").agg(best.alias("b")).join(members, "item")
             .select("kid", "th", "id", "item_id", "b.similarity", (-F.col("b.s")).alias("start_word"),
                     F.col("b.n").alias("n_words"), (-F.col("b.d")).alias("distance")))
 
