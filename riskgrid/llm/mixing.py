@@ -15,6 +15,10 @@
 4. An iteration is one pass over the narrow table (tokens, posterior, rate) that
    returns one number per domain; every ``STORE_EVERY`` passes the rates are
    written, so plans stay short.
+5. The passes end when every domain is within ``tolerance`` of its target, or when
+   a step lowers the squares by less than their share ``still``: then no rates near
+   come closer.  Missed targets are named in a ``MissedTargets`` warning, or raised
+   as one with ``strict``.
 
 Without ``budget`` the total is ``headroom`` times the smallest at which no
 domain has to shrink, so that soft members of a full domain keep a rate near 1.
@@ -33,6 +37,7 @@ count and get their row.  Empty tables give empty results.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +52,15 @@ MARKS = {"m_de": "äöüß", "m_es": "ñóí", "m_fr": "éèêç", "m_symbol": "
 FEATURES = (*MARKS, "upper", "digit", "word_bytes", "distinct")
 
 
+class MissedTargets(UserWarning):
+    """The rates do not reach the targets; ``gaps`` has, by domain, the expected
+    tokens less the target, as a share of all target tokens."""
+
+    def __init__(self, gaps: dict[str, float], passes: int):
+        self.gaps, self.passes = gaps, passes
+        super().__init__(f"targets missed after {passes} passes by " + ", ".join(f"{d} {g:+.2%}" for d, g in gaps.items()))
+
+
 def text_numbers(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, th, n_tokens, x): the row's id, a hash of its text, its words and
     its feature array."""
@@ -97,9 +111,10 @@ def _rates(base: Column, p: list[Column], steps: list[list[float]]) -> Column:
 
 
 def mix(docs: DataFrame, domains_of: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        budget: float | None = None, headroom: float = 1.1, temper: float = 0.5, tolerance: float = 1e-4, most_passes: int = 200) -> DataFrame:
+        budget: float | None = None, headroom: float = 1.1, temper: float = 0.5, tolerance: float = 1e-4, still: float = 1e-4, most_passes: int = 1000,
+        strict: bool = False) -> DataFrame:
     """(id, th, n_tokens, domain, posterior, rate, copies) for every row;
-    ``domain`` is the likeliest one."""
+    ``domain`` is the likeliest one.  ``tolerance`` is a share of all target tokens."""
     numbers = cut_lineage(text_numbers(docs, id_col, text_col))
     model = fit_domains(numbers, domains_of, [d for d, w in targets.items() if w > 0])
     names = [d["domain"] for d in model]
@@ -123,15 +138,22 @@ def mix(docs: DataFrame, domains_of: DataFrame, targets: dict[str, float], id_co
         if scale > 0:
             weights = [w / scale for w in weights]
             total = budget if budget is not None else headroom * max(m / w for m, w in zip(mass, weights) if w > 0)
-            goal, now = [w * total for w in weights], mass
-            for k in range(most_passes):
-                if max(abs(a - b) for a, b in zip(now, goal)) <= tolerance * total:
+            goal, now, last, done = [w * total for w in weights], mass, math.inf, 0
+            squares = lambda sums: sum((a - b) ** 2 / m for a, b, m in zip(sums, goal, mass) if m > 0)
+            while missed := max(abs(a - b) for a, b in zip(now, goal)) > tolerance * total:
+                if squares(now) > (1 - still) * last or done >= most_passes:
                     break
+                last, done = squares(now), done + 1
                 steps.append([(a - b) / m if m > 0 else 0.0 for a, b, m in zip(now, goal, mass)])
+                now = totals(_rates(F.col("r"), p, steps))
                 if len(steps) == STORE_EVERY:
                     state = cut_lineage(state.withColumn("r", _rates(F.col("r"), p, steps)))
                     steps = []
-                now = totals(_rates(F.col("r"), p, steps))
+            if missed:
+                missing = MissedTargets({d: (a - b) / total for d, a, b in zip(names, now, goal)}, done)
+                if strict:
+                    raise missing
+                warnings.warn(missing, stacklevel=2)
     rate = F.round(_rates(F.col("r"), p, steps), 9)
     draw = F.shiftrightunsigned(F.xxhash64("id", "th", F.lit("copies")), 11) / F.lit(float(1 << 53))
     out = state.withColumn("rate", rate)

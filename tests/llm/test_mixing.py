@@ -1,7 +1,8 @@
 import numpy as np
+import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
-from riskgrid.llm.mixing import TARGETS, mix, mixed_documents, quality_domains
+from riskgrid.llm.mixing import TARGETS, MissedTargets, mix, mixed_documents, quality_domains
 
 
 def tables(spark):
@@ -62,3 +63,23 @@ def test_edges(spark):
     assert kept.count() == 54 and dict(kept.dtypes)["rate"] == "double"
     assert mix(docs.limit(0), domains, TARGETS).count() == 0
     assert mixed_documents(docs.limit(0), domains.limit(0), TARGETS).count() == 0
+
+
+def test_targets_out_of_reach_end_at_the_least_squares_rates_with_a_sign(spark):
+    """Both domains look alike, so no rates can tell their totals apart."""
+    docs = spark.createDataFrame([(i, "w " * (20 + i)) for i in range(12)], "doc_id bigint, text string")
+    known = docs.selectExpr("doc_id as id", "if(doc_id % 2 = 1, 'a', 'b') as domain")
+    with pytest.warns(MissedTargets) as seen:
+        out = mix(docs, known, {"a": 0.9, "b": 0.1}, budget=500.0).orderBy("id").collect()
+    said = seen.pop(MissedTargets).message
+    t, p = np.array([float(r.n_tokens) for r in out]), np.array([r.posterior for r in out])
+    goal, mass = np.array([450.0, 50.0]), t @ p
+    r = np.ones(len(t))
+    for _ in range(20_000):
+        r = np.maximum(0, r - p @ (((t * r) @ p - goal) / mass))
+    loss = lambda x: ((((t * x) @ p - goal) ** 2) / mass).sum()
+    got = np.array([x.rate for x in out])
+    assert loss(got) <= loss(r) * (1 + 1e-3) and said.passes < 200
+    assert np.allclose([said.gaps["a"], said.gaps["b"]], ((t * got) @ p - goal) / 500.0, atol=1e-6)
+    with pytest.raises(MissedTargets):
+        mix(docs, known, {"a": 0.9, "b": 0.1}, budget=500.0, strict=True, most_passes=3)
