@@ -3,7 +3,7 @@ from math import log2, sqrt
 
 from conftest import SF001
 from pyspark.sql import functions as F
-from riskgrid.llm.quality_divergence import _js_distance, quality_rules
+from riskgrid.llm.quality_divergence import ANY, COMMON_WORDS, _js_distance, quality_rules
 
 
 def brute(text):
@@ -53,3 +53,44 @@ def test_distance(spark):
     a, b = [x / sum(p) for x in p], [x / sum(q) for x in q]
     kl = lambda u, v: sum(x * log2(2 * x / (x + y)) for x, y in zip(u, v) if x)
     assert abs(df.first()[0] - sqrt((kl(a, b) + kl(b, a)) / 2)) < 1e-12
+
+
+def histograms(text, words):
+    """Character classes and shares of ``words``, counted one by one."""
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n = {c: 0 for c in ("upper", "lower", "digit", "wide", "symbol", "space", "other")}
+    for c in text:
+        n["upper" if "A" <= c <= "Z" else "lower" if "a" <= c <= "z" else "digit" if "0" <= c <= "9" else "wide" if c > "\x7f"
+          else "symbol" if c in "#*$%&|<>" else "space" if c in " \t\n\v\f\r" else "other"] += 1
+    hits = [sum(x in (w, w.capitalize()) for x in found) for w in words]
+    return list(n.values()), hits + [len(found) - sum(hits)]
+
+
+def distance(p, q):
+    a, b = [x / sum(p) for x in p], [x / sum(q) for x in q]
+    return sqrt(max(0.0, sum(u * log2(2 * u / (u + v)) for u, v in [*zip(a, b), *zip(b, a)] if u) / 2))
+
+
+def test_verdicts_against_brute_force_references(spark):
+    """References summed and distances taken row by row, on whole texts."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = {r.doc_id: (r.text or "", r.lang if r.lang in COMMON_WORDS else "*") for r in docs.collect()}
+    facts = {i: (brute(t), *histograms(t, COMMON_WORDS.get(key, ANY)), key) for i, (t, key) in rows.items()}
+    refs = {}
+    for base, chars, words, key in facts.values():
+        if not base[-1]:
+            old = refs.get(key, ([0] * len(chars), [0] * len(words)))
+            refs[key] = tuple([x + y for x, y in zip(o, h)] for o, h in zip(old, (chars, words)))
+    seen = {True: 0, False: 0}
+    for r in quality_rules(docs).collect():
+        base, chars, words, key = facts[r.doc_id]
+        kept = not base[-1]
+        for h, ref, most, long_enough, got in ((chars, refs[key][0], 0.30, len(rows[r.doc_id][0]) >= 300, r.js_char),
+                                               (words, refs[key][1], 0.24, base[0] >= 100, r.js_word)):
+            if sum(h):
+                want = distance(h, ref)
+                assert abs(got - want) < 1e-9, r.doc_id
+                kept = kept and (not long_enough or want <= most)
+        assert r.kept == kept, r.doc_id
+        seen[kept] += 1
+    assert seen[True] and seen[False]
