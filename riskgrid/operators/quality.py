@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskgrid.functions.exprs import clip, finite
 from riskgrid.operators.ranking import lookup
 from riskgrid.operators.stats import quantiles_long, to_long
-from riskgrid.session import checked_broadcast
+from riskgrid.session import checked_broadcast, counted_broadcast
 
 
 def finite_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -97,7 +97,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[s
         cond = e if cond is None else cond & e
     lo, hi = F.col("lo"), F.col("hi")
     b = F.least(F.floor((F.col("value") - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1))
-    counted = long.join(checked_broadcast(r, None if by else len(cols)), cond, "inner") \
+    counted = long.join(counted_broadcast(r) if by else checked_broadcast(r, len(cols)), cond, "inner") \
         .select(*[F.col(c).alias(f"_r_{c}") for c in keys], b.alias("_r_bin")) \
         .groupBy(*[f"_r_{c}" for c in keys], "_r_bin").agg(F.count(F.lit(1)).alias("_n"))
     grid = rng.select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -156,7 +156,7 @@ def stratified_density(df: DataFrame, cols: Sequence[str], label: str = "label",
     edges = edges_q.select(*by, "feature",
                            F.when(F.size("qe") < 3, eq).otherwise(F.col("qe")).alias("edges"))
     # one row per (group, feature): hinted when there are no groups, else sized by AQE
-    long = long.join(checked_broadcast(edges, None if by else len(cols)), [*by, "feature"])
+    long = long.join(counted_broadcast(edges) if by else checked_broadcast(edges, len(cols)), [*by, "feature"])
     e = F.col("edges")
     x = F.col("value")
     idx = F.size(F.filter(e, lambda t: t <= x)) - 1
