@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from riskgrid.functions.exprs import TWO_POW_52, linspace
 from riskgrid.functions.permute import donor_positions
-from riskgrid.operators.curves import auc_ap
+from riskgrid.operators.curves import auc_ap, score_groups
 from riskgrid.operators.sampling import poisson_cdf
 from riskgrid.operators.stats import quantile_array, quantiles, quantiles_long
 from riskgrid.plans.ordering import ordered
@@ -267,8 +267,10 @@ def permutation_importance(base: DataFrame, features: Sequence[str], scorer, key
     j = scorer.with_variants(rows.join(donors, "donor"), [{f: F.col(f"_d_{f}")} for f in feats], "_probs")
     names = F.array(*[F.lit(f) for f in feats])
     long = j.select("rep", label, F.posexplode("_probs").alias("_i", "prob")).withColumn("feature", F.get(names, F.col("_i")))
-    perm = auc_ap(long, "prob", label, by=["feature", "rep"]).select("feature", "rep", "average_precision")
-    ref = auc_ap(scorer.score(base), "prob", label).select(F.col("average_precision").alias("ap_base"))
+    # the order below reads its rows several times: scores are written once, by distinct value
+    groups = cut_lineage(score_groups(long, "prob", label, ["feature", "rep"]))
+    perm = auc_ap(groups, by=["feature", "rep"], grouped=True).select("feature", "rep", "average_precision")
+    ref = auc_ap(cut_lineage(score_groups(scorer.score(base), "prob", label)), grouped=True).select(F.col("average_precision").alias("ap_base"))
     perm = perm.withColumn("ap_base", ref.select("ap_base").scalar())
     imp = perm.withColumn("imp", F.col("ap_base") - F.col("average_precision"))
     return imp.groupBy("feature").agg(F.avg("imp").alias("importance_mean"),
