@@ -47,22 +47,21 @@ def _sort_key(df: DataFrame, name: str, asc: bool) -> Column:
 def _bucket_expr(df: DataFrame, keys: list[Column], bounds: list[tuple]) -> Column:
     """How many boundaries are not greater than the row.
 
-    A binary search over one literal array: the generated code has the same
-    size for any number of boundaries.  Structs compare field by field with
-    nulls first, as the windows sort.
+    A binary search over one literal array, by halved steps that carry one number:
+    the generated code has the same size for any number of boundaries.  The first
+    fields decide most steps; else structs compare field by field with nulls first,
+    as the windows sort.
     """
     key = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
     kind = df.select(F.array(key).alias("b")).schema["b"].dataType
     table = F.array(*[F.struct(*[F.lit(v) for v in b]) for b in bounds]).cast(kind)
-    span = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        above = (s["lo"] < s["hi"]) & (key < F.get(table, mid))
-        return F.struct(F.when(above | (s["lo"] >= s["hi"]), s["lo"]).otherwise(mid + 1).alias("lo"),
-                        F.when(above, mid).otherwise(s["hi"]).alias("hi"))
-    steps = F.array(*[F.lit(i) for i in range(len(bounds).bit_length())])
-    return F.aggregate(steps, span, halve, lambda s: s["lo"])
+
+    def climb(at: Column, step: Column) -> Column:
+        first = F.get(table["_k0"], at + step - 1)
+        return F.when(first < keys[0], at + step).when(first > keys[0], at) \
+            .when(F.get(table, at + step - 1) <= key, at + step).otherwise(at)  # no boundary there: null
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), climb)
 
 
 def bucket_bounds(df: DataFrame, keys: list[Column], sample_id: Column,
