@@ -177,3 +177,59 @@ def test_packed_rows_come_back(spark):
     back = [a for b in records for a in boosting._arrays(b, 3, 4)]
     assert sum(len(a[0]) for a in back) == 1500 and sum(a[1].sum() for a in back) == df.agg(F.sum("label")).first()[0]
     assert sum(b.num_rows for b in records) < 100
+
+
+def test_a_task_per_point_grows_the_trees_of_a_job_per_level(spark, monkeypatch):
+    """Both ways of growth, in several partitionings and blocks, with a point that stops early."""
+    df, x, _ = frame(spark, 1500)
+    val, _, _ = frame(spark, 700, 2)
+    points = [Point(3, 2.0, 10.0, 0.1), Point(2, 2.0, 20.0, 0.3), Point(3, 0.1, 0.1, 2.0, 0.0)]
+
+    def fitted(apart, parts, block, **how):
+        monkeypatch.setattr(boosting, "APART", apart)
+        return fit_grid(df.repartition(parts), val.repartition(parts), FEATS, points, "key", n_trees=8, patience=2, block=block, **how)
+    one, other = fitted(32 << 20, 3, 2, best_prefix=False), fitted(0, 5, 2, best_prefix=False)
+    assert len({len(m.trees) for m in one}) > 1
+    for a, b in zip(one, other):
+        assert len(a.trees) == len(b.trees) and a.val_ap == b.val_ap
+        assert all(np.array_equal(getattr(s, c), getattr(t, c)) for s, t in zip(a.trees, b.trees) for c in ("feature", "threshold", "value", "cover", "cut"))
+    for a, b in zip(fitted(32 << 20, 2, 3), fitted(0, 2, 5)):
+        assert len(a.trees) == len(b.trees) and a.val_ap == b.val_ap and np.array_equal(a.margin(x), b.margin(x))
+
+
+def test_patience_ends_a_point_inside_a_block():
+    """A later, better tree of the same block does not reopen a point that has ended."""
+    aps = [0.1, 0.3, 0.2, 0.2, 0.25, 0.9]
+    assert boosting._ended(aps, 2) == 4 and boosting._ended(aps[:3], 2) is None
+    assert boosting._ended(aps, 4) is None and boosting._ended([], 2) is None
+
+
+def test_cells_stay_fine_after_many_trees(spark):
+    """Cells span the margins themselves, not the sum of all trees' outermost leaves."""
+    df, _, _ = frame(spark, 1000)
+    val, vx, vy = frame(spark, 1500, 2)
+    m, = fit_grid(df, val, FEATS, [Point(2, 8.0, 20.0, 1.0)], "key", n_trees=120, patience=1000, block=60, best_prefix=False)
+    off = []
+    for margin, ap in zip(m.staged(vx), m.val_ap):
+        order = np.argsort(-margin)
+        score, hit = margin[order], vy[order].cumsum()
+        end = np.append(score[1:] != score[:-1], True)
+        off.append(abs(ap - (np.diff(hit[end], prepend=0) * hit[end] / (np.nonzero(end)[0] + 1)).sum() / vy.sum()))
+    assert np.mean(off[60:]) < 5e-4, np.mean(off[60:])
+
+
+def test_a_row_without_a_label_counts_as_a_negative(spark, monkeypatch):
+    df, x, _ = frame(spark, 400)
+    gone = df.withColumn("label", F.when(F.abs(F.hash("key")) % 4 > 0, F.col("label")))
+    for apart in (32 << 20, 0):
+        monkeypatch.setattr(boosting, "APART", apart)
+        a, b = (fit_grid(d, None, FEATS, [Point(3, 1.0, 1.0, 0.3)], "key", n_trees=3)[0] for d in (gone, gone.na.fill(0, ["label"])))
+        assert np.array_equal(a.margin(x), b.margin(x)) and len(np.unique(a.margin(x))) > 3
+
+
+def test_no_trees_without_rows_to_split(spark, monkeypatch):
+    df, x, _ = frame(spark, 40)
+    for apart in (32 << 20, 0):
+        monkeypatch.setattr(boosting, "APART", apart)
+        m, = fit_grid(df, df.limit(0), FEATS, [Point(3, 1e6, 1.0, 0.3)], "key", n_trees=3)
+        assert len(m.trees) == 1 and len(np.unique(m.margin(x))) == 1 and m.val_ap == [0.0]

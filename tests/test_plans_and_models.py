@@ -133,6 +133,23 @@ def test_grid_select_one_winner(spark, monkeypatch):
     assert win == g.index[g["score"] == g["score"].max()][0]
 
 
+def test_grid_of_the_query_has_the_reference_size(spark, monkeypatch):
+    """Every point of the grid grows up to 2,000 trees and ends 100 trees after its best."""
+    from riskgrid.operators import boosting, model
+    from riskgrid.plans import base as B
+    asked = {}
+
+    def fit(train, val, features, points, key, label, n_trees, patience, *rest, **how):
+        asked.update(points=list(points), n_trees=n_trees, patience=patience)
+        raise StopIteration
+    monkeypatch.setattr(boosting, "fit_grid", fit)
+    monkeypatch.setattr(B, "_SELECTED", {})
+    with pytest.raises(StopIteration):
+        B.selected_model(spark, SF001)
+    assert model.boosting is boosting
+    assert asked == {"points": boosting.grid(), "n_trees": 2000, "patience": 100} and len(asked["points"]) == 16
+
+
 def test_no_pairs_join_in_any_sql_checked_plan(spark):
     """Every query with a DuckDB twin plans without all-pairs joins."""
     from __spark_entry__ import oracle_sql, queries
